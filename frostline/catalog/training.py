@@ -89,7 +89,7 @@ QUERIES = {
     "decision_tree": _classifier(lambda: ops.baseline_classifiers()["decision_tree"]),
     "forest_classification": _classifier(lambda: ops.classifiers(share=SHARE)["random_forest"](maxDepth=10)),
     "forest_no_bootstrap": _classifier(lambda: ops.classifiers(share=SHARE)["forest_no_bootstrap"](maxDepth=10)),
-    "boosted_multiclass": _classifier(lambda: ops.classifiers(share=0.01)["boosted"]()),
+    "boosted_multiclass": _classifier(lambda: ops.classifiers(share=0.006)["boosted"](maxDepth=3)),
     "random_search": _search,
     "select_best": _select_best,
     "refit_production": _refit,

@@ -54,3 +54,18 @@ def half_even(value: Column, digits: int) -> Column:
 def rounded(value: Column | str, digits: int = 6) -> Column:
     """Report rounding; adding 0.0 turns -0.0 into 0.0."""
     return F.round(_column(value), digits) + F.lit(0.0)
+
+
+def edges_below(value: Column, edges: list[float], inclusive: bool = False) -> Column:
+    """Number of edges smaller than the value (or not larger, when inclusive), as a binary search of comparisons."""
+    edges = sorted(edges)
+
+    def search(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo)
+        middle = (lo + hi) // 2
+        edge = F.lit(float(edges[middle]))
+        passed = value >= edge if inclusive else value > edge
+        return F.when(passed, search(middle + 1, hi)).otherwise(search(lo, middle))
+
+    return F.when(value.isNotNull(), search(0, len(edges)))

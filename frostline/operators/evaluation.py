@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from frostline.functions.numeric import clip, half_even
+from frostline.functions.numeric import clip, edges_below, half_even
 from frostline.operators.quantiles import quantiles
 from frostline.operators.small import with_totals
 from frostline.schema import ACTION, CLASSES, EMERGENCY, PREDICTED_RISK, RISK, WARNING, probability
@@ -104,7 +104,7 @@ def threshold_sweep(df: DataFrame, label: str = ACTION, score: str = probability
     """
     grid = grid or threshold_grid()
     spark = df.sparkSession
-    passed = sum((F.when(F.col(score) >= F.lit(t), 1).otherwise(0) for t in grid), F.lit(0))
+    passed = edges_below(F.col(score), grid, inclusive=True)
     counted = df.groupBy(passed.alias("bucket")).agg(
         F.count_if(F.col(label) == positive).alias("hits"), F.count("*").alias("rows"))
     steps = spark.createDataFrame([(0, None), *((i + 1, t) for i, t in enumerate(grid))], "bucket int, threshold double")

@@ -2,11 +2,12 @@
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from frostline.functions.numeric import finite, half_even, rounded
+from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
 from frostline.operators.quantiles import quantiles, quantiles_of_counts, running_counts, value_counts
-from frostline.operators.small import join_checked, with_totals
+from frostline.operators.small import with_totals
 from frostline.schema import ACTION, NUMERIC, RISK, SAFE, WARNING
+from frostline.workspace import fresh_path
 
 # Bin edges of the target report.
 TARGET_EDGES = [0, 10, 20, 30, 40, 50, 60, 70, 80, 90, 100]
@@ -112,29 +113,64 @@ def _correlation_long(wide: DataFrame, columns: list[str], digits: int | None) -
     return wide.select(F.inline(F.array(*entries)))
 
 
+def _correlations(df: DataFrame, columns: list[str], rows: int, centres: dict[str, tuple]) -> DataFrame:
+    """All pairs in one aggregate, as sums of products of standardised columns.
+
+    `centres` holds (mean, population std, rows with a value) of each column. A pair with a
+    partly missing column is correlated over the rows that have both.
+    """
+    standard = {c: (F.col(c) - F.lit(m)) / F.lit(s) for c, (m, s, n) in centres.items() if n == rows and s}
+    aggregates = []
+    for i, j in _pairs(columns):
+        a, b = columns[i], columns[j]
+        if not rows or not centres[a][1] or not centres[b][1]:
+            value = F.max(F.lit(None).cast("double"))
+        elif i == j:
+            value = F.max(F.lit(1.0))
+        elif a in standard and b in standard:
+            value = F.sum(standard[a] * standard[b]) / F.lit(float(rows))
+        else:
+            value = F.corr(a, b)
+        aggregates.append(value.alias(f"{i}|{j}"))
+    return df.agg(*aggregates)
+
+
 def pearson_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | None = None) -> DataFrame:
-    """Correlation of all pairs in one aggregate; rows with a missing value leave only their pairs."""
-    wide = df.select(*[finite(c).alias(c) for c in columns]).agg(
-        *[F.corr(columns[i], columns[j]).alias(f"{i}|{j}") for i, j in _pairs(columns)])
-    return _correlation_long(wide, columns, digits)
+    """Correlation of all pairs: one scan for the means (one row to the driver), one for the products."""
+    numbers = df.select(*[finite(c).alias(c) for c in columns])
+    first = numbers.agg(F.count("*").alias("rows"), *[
+        F.struct(F.avg(c).alias("mean"), F.stddev_pop(c).alias("std"), F.count(c).alias("n")).alias(c) for c in columns]).first()
+    centres = {c: (first[c]["mean"], first[c]["std"], first[c]["n"]) for c in columns}
+    return _correlation_long(_correlations(numbers, columns, first["rows"], centres), columns, digits)
 
 
 def spearman_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | None = None) -> DataFrame:
     """Pearson correlation of average ranks.
 
     A value's rank follows from the distinct-value counts, so rows are never sorted. The rank
-    table of a column is broadcast only when its counted size allows; otherwise rows meet
-    it in a shuffled join whose hot values AQE splits. Rows with a missing value are left out.
+    tables are written and read back: Spark then knows their size and broadcasts a table only
+    when it is small; otherwise rows meet it in a shuffled join whose hot values AQE splits.
+    Rows with a missing value are left out.
     """
+    spark = df.sparkSession
     complete = df.select(*[finite(c).alias(c) for c in columns]).na.drop()
-    ranks = running_counts(value_counts(complete, columns)).select(
-        "feature", F.col("value"), (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank"))
-    ranked = complete
-    for i, c in enumerate(columns):
-        table = ranks.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("rank").alias(f"r{i}"))
-        ranked = join_checked(ranked, table, [c], limit=1_000_000)
-    wide = ranked.agg(*[F.corr(f"r{i}", f"r{j}").alias(f"{i}|{j}") for i, j in _pairs(columns)])
-    return _correlation_long(wide, columns, digits)
+    path = fresh_path(spark, "ranks")
+    running_counts(value_counts(complete, columns)).select(
+        "feature", "value", "n", "total", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank")
+    ).write.partitionBy("feature").parquet(path)
+    ranks = spark.read.schema("feature string, value double, n bigint, total bigint, rank double").parquet(path)
+    middle = (F.col("total") + 1) / 2.0
+    spread = F.sqrt(F.sum(F.col("n") * (F.col("rank") - middle) * (F.col("rank") - middle)) / F.max("total"))
+    known = {  # one row per column name
+        r["feature"]: r for r in ranks.groupBy("feature").agg(
+            F.max("total").alias("rows"), F.max(middle).alias("mean"), spread.alias("std")).collect()}
+    rows = max((r["rows"] for r in known.values()), default=0)
+    ranked, centres = complete, {}
+    for c in columns:
+        centres[c] = (known[c]["mean"], known[c]["std"], rows) if c in known else (None, None, 0)
+        table = ranks.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("rank").alias("_rank"))
+        ranked = ranked.join(table, c).drop(c).withColumnRenamed("_rank", c)
+    return _correlation_long(_correlations(ranked, columns, rows, centres), columns, digits)
 
 
 def top_correlations(matrix: DataFrame, n: int = 10) -> DataFrame:
@@ -233,29 +269,29 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         F.coalesce("n", F.lit(0)).alias("count"))
 
 
-def _bin_edges(counts: DataFrame, bins: int) -> DataFrame:
-    """Inner quantile edges of each column as an array."""
+def fit_bins(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
+    """Inner quantile edges of each column without duplicates: at most bins - 1 numbers per column."""
     inner = [i / bins for i in range(1, bins)]
-    marks = quantiles_of_counts(counts, inner)
-    return marks.select("feature", F.array_distinct(F.array(*[F.col(f"q{i}") for i in range(len(inner))])).alias("edges"))
+    rows = quantiles(df, columns, inner).collect()
+    return {r["feature"]: sorted({r[f"q{i}"] for i in range(len(inner))}) for r in rows}
 
 
 def mutual_information(df: DataFrame, columns: list[str], target: str = ACTION, bins: int = 20,
                        target_bins: int | None = None) -> DataFrame:
-    """Information (nats) between each quantile-binned column and a class, or a binned number with `target_bins`."""
+    """Information (nats) between each quantile-binned column and a class, or a binned number with `target_bins`.
+
+    One pass finds the edges, one counts bins against classes; only counts are shuffled.
+    """
     if target_bins:
-        counts = value_counts(df.withColumnRenamed(target, "_target"), ["_target"])
-        edges = _bin_edges(counts, target_bins).select(F.col("edges").alias("_edges"))  # one row
-        marked = with_totals(df.where(finite(target).isNotNull()), edges).withColumn(
-            "_class", F.size(F.filter("_edges", lambda e: e < F.col(target))).cast("string")).drop("_edges")
+        edges = fit_bins(df, columns, bins)
+        kind = edges_below(finite(target), fit_bins(df, [target], target_bins).get(target, [])).cast("string")
     else:
-        marked = df.where(F.col(target).isNotNull()).withColumn("_class", F.col(target).cast("string"))
-    counts = value_counts(marked, columns, ["_class"])
-    per_value = counts.groupBy("feature", "value").agg(F.sum("n").alias("n"))
+        edges = fit_bins(df, columns, bins)
+        kind = F.col(target).cast("string")
+    binned = df.select(kind.alias("_class"), *[edges_below(finite(c), edges.get(c, [])).alias(c) for c in columns])
     binned = (
-        counts.join(F.broadcast(_bin_edges(per_value, bins)), "feature")
-        .withColumn("bin", F.size(F.filter("edges", lambda e: e < F.col("value"))))
-        .groupBy("feature", "bin", "_class").agg(F.sum("n").alias("n"))
+        binned.where(F.col("_class").isNotNull()).unpivot(["_class"], columns, "feature", "bin")
+        .where(F.col("bin").isNotNull()).groupBy("feature", "bin", "_class").agg(F.count("*").alias("n"))
     )
     feature = Window.partitionBy("feature")
     shares = binned.withColumns({

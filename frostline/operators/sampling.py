@@ -11,6 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from frostline.functions.draws import digest, uniform
+from frostline.functions.numeric import edges_below
 from frostline.operators.quantiles import quantiles
 from frostline.operators.small import rows_if_small, with_totals
 from frostline.schema import ACTION, ID
@@ -216,8 +217,7 @@ def fit_strata(df: DataFrame, column: str, q: int = 10) -> list[float]:
 def stratum_of(column: str, edges: list[float]) -> Column:
     """0-based right-closed bin, lowest edge included; null outside."""
     value = F.col(column)
-    position = F.size(F.filter(F.lit(edges[1:-1]).cast("array<double>"), lambda e: e < value))
-    return F.when(value.between(edges[0], edges[-1]), position)
+    return F.when(value.between(edges[0], edges[-1]), edges_below(value, edges[1:-1]))
 
 
 def quantile_strata(df: DataFrame, column: str, q: int = 10, output: str = "stratum") -> DataFrame:

@@ -84,11 +84,12 @@ class BoostedOneVsRest(Estimator):
     def _fit(self, dataset):
         stages, votes, working = [], [], []
         for k in range(self.classes):
-            names = {"predictionCol": f"_pred{k}", "probabilityCol": f"_prob{k}", "rawPredictionCol": f"_raw{k}"}
             marked = dataset.withColumn("_is", F.when(F.col("label") == k, 1.0).otherwise(0.0))
-            stages.append(GBTClassifier(featuresCol="features", labelCol="_is", **names, **self.booster).fit(marked))
-            votes.append(names["probabilityCol"])
-            working += names.values()
+            learner = GBTClassifier(featuresCol="features", labelCol="_is", predictionCol=f"_pred{k}", **self.booster)
+            learner.setProbabilityCol(f"_prob{k}").setRawPredictionCol(f"_raw{k}")
+            stages.append(learner.fit(marked))
+            votes.append(f"_prob{k}")
+            working += [f"_pred{k}", f"_prob{k}", f"_raw{k}"]
         return PipelineModel([*stages, NormalizedVotes(columns=votes, working=working)])
 
 
