@@ -102,15 +102,15 @@ def _pairs(columns: list[str]) -> list[tuple[int, int]]:
 
 
 def _correlation_long(wide: DataFrame, columns: list[str], digits: int | None) -> DataFrame:
-    """Both triangles and the diagonal, as rows with the positions of the two columns."""
+    """Both triangles and the diagonal, as rows with the positions of the two columns (k * k numbers)."""
+    found = wide.first()
     entries = []
     for i, j in _pairs(columns):
-        value = F.col(f"{i}|{j}")
-        value = rounded(value, digits) if digits is not None else value
-        for a, b in {(i, j), (j, i)}:
-            entries.append(F.struct(F.lit(columns[a]).alias("feature_1"), F.lit(columns[b]).alias("feature_2"),
-                                    F.lit(a).alias("position_1"), F.lit(b).alias("position_2"), value.alias("correlation")))
-    return wide.select(F.inline(F.array(*entries)))
+        for a, b in sorted({(i, j), (j, i)}):
+            entries.append((columns[a], columns[b], a, b, found[f"{i}|{j}"]))
+    schema = "feature_1 string, feature_2 string, position_1 int, position_2 int, correlation double"
+    matrix = wide.sparkSession.createDataFrame(entries, schema)
+    return matrix if digits is None else matrix.withColumn("correlation", rounded("correlation", digits))
 
 
 def _correlations(df: DataFrame, columns: list[str], rows: int, centres: dict[str, tuple]) -> DataFrame:
@@ -282,13 +282,14 @@ def mutual_information(df: DataFrame, columns: list[str], target: str = ACTION,
 
     One pass finds the edges, one counts bins against classes; only counts are shuffled.
     """
+    edges = fit_bins(df, columns, bins)
     if target_bins:
-        edges = fit_bins(df, columns, bins)
-        kind = edges_below(finite(target), fit_bins(df, [target], target_bins).get(target, [])).cast("string")
+        inner = fit_bins(df, [target], target_bins).get(target, [])
+        marked = df.withColumn("_target", finite(target)).withColumn("_class", edges_below(F.col("_target"), inner).cast("string"))
     else:
-        edges = fit_bins(df, columns, bins)
-        kind = F.col(target).cast("string")
-    binned = df.select(kind.alias("_class"), *[edges_below(finite(c), edges.get(c, [])).alias(c) for c in columns])
+        marked = df.withColumn("_class", F.col(target).cast("string"))
+    numbers = marked.select("_class", *[finite(c).alias(c) for c in columns])
+    binned = numbers.select("_class", *[edges_below(F.col(c), edges.get(c, [])).alias(c) for c in columns])
     binned = (
         binned.where(F.col("_class").isNotNull()).unpivot(["_class"], columns, "feature", "bin")
         .where(F.col("bin").isNotNull()).groupBy("feature", "bin", "_class").agg(F.count("*").alias("n"))
