@@ -44,6 +44,17 @@ def violation(name: str, lo: float | None, hi: float | None) -> Column:
     return F.when(bad, F.lit(name))
 
 
+def in_ranges(ranges: dict[str, tuple] = RANGES) -> Column:
+    """True when no reading is missing or out of range; plain comparisons, so a parquet scan can skip by them."""
+    allowed = F.lit(True)
+    for name, (lo, hi) in ranges.items():
+        value = F.col(name)
+        if lo is not None:
+            allowed = allowed & (value >= F.lit(lo))
+        allowed = allowed & (value <= F.lit(hi) if hi is not None else ~F.isnan(value))
+    return allowed
+
+
 def is_emergency(deviation: float = EMERGENCY_DEVIATION, seal: float = EMERGENCY_SEAL,
                  ambient: float = EMERGENCY_AMBIENT) -> Column:
     """Physical emergency; a missing reading never triggers it."""

@@ -7,6 +7,7 @@ projection; the whole table is never shuffled, however skewed the classes are.
 """
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -133,43 +134,67 @@ def _quota(total: Column, share: float) -> Column:
     return F.bround(total.cast("double") * F.lit(share), 0).cast("bigint")
 
 
-def stratified_split(df: DataFrame, by: str = ACTION, fractions: Mapping[str, float] | None = None,
-                     seed: int = 42, key: str = ID) -> DataFrame:
-    """Add `split`: every stratum is divided in the given shares, exact to the row.
+@dataclass(frozen=True)
+class SplitRule:
+    """A fitted split: names in order, and per stratum the last (hash, key) of each split but the last.
 
-    `by` is the stratum column, `fractions` an ordered mapping of split name to share.
+    `limits` is None when there are more strata than `STRATA_LIMIT`; rows are then ranked instead.
     """
-    fractions = fractions or {"train": 0.8, "test": 0.2}
+
+    by: str
+    names: list[str]
+    cumulative: list[float]
+    seed: int
+    key: str
+    limits: list[list] | None
+
+
+def fit_split(df: DataFrame, by: str, fractions: Mapping[str, float], seed: int = 42, key: str = ID) -> SplitRule:
     names, cumulative = list(fractions), _cumulative(fractions)
     points = _cut_points(df, key, seed, by, lambda total: [_quota(total, share) for share in cumulative])
-    if points is None:
-        ranked = number_rows(df, key, seed, by, output="_no")
-        passed = sum(
-            (F.when(F.col("_no") >= _quota(F.col("_no_of"), f), 1).otherwise(0)
-             for f in cumulative), F.lit(0))
-        return ranked.withColumn("split", F.get(F.lit(names), passed)).drop("_no", "_no_of")
-    return _labelled(df, points, names, by, key, seed)
-
-
-def _labelled(df: DataFrame, points: list, names: list[str], by: str, key: str, seed: int) -> DataFrame:
-    """Split name by comparing each row with the points of its stratum (at most STRATA_LIMIT rows, broadcast)."""
-    cuts = range(len(names) - 1)
-    by_stratum: dict[str, dict[int, tuple]] = {}
-    for p in points:
-        by_stratum.setdefault(p["stratum"], {})[p["no"]] = (p["h"], p["key"])
-    table = [[s, *[part for no in cuts for part in found.get(no, (None, None))]] for s, found in by_stratum.items()]
+    limits = None
+    if points is not None:
+        by_stratum: dict[str, dict[int, tuple]] = {}
+        for p in points:
+            by_stratum.setdefault(p["stratum"], {})[p["no"]] = (p["h"], p["key"])
+        limits = [[s, *[part for no in range(len(cumulative)) for part in found.get(no, (None, None))]]
+                  for s, found in by_stratum.items()]
+    return SplitRule(by, names, cumulative, seed, key, limits)
+
+
+def apply_split(df: DataFrame, rule: SplitRule, output: str = "split") -> DataFrame:
+    """Label every row by comparing its hash with the limits of its stratum: a projection, no shuffle."""
+    if rule.limits is None:
+        ranked = number_rows(df, rule.key, rule.seed, rule.by, output="_no")
+        passed = edges_below_columns(F.col("_no") + 1, [_quota(F.col("_no_of"), share) for share in rule.cumulative])
+        return ranked.withColumn(output, F.get(F.lit(rule.names), passed)).drop("_no", "_no_of")
+    cuts = range(len(rule.cumulative))
     columns = ", ".join(["_s string", *[f"_h{no} string, _k{no} string" for no in cuts]])
-    limits = df.sparkSession.createDataFrame(table, columns)
-    tagged = df.withColumns({"_s": _stratum(by), "_h": digest(key, seed, _ORDER)})
+    limits = df.sparkSession.createDataFrame(rule.limits, columns)  # at most STRATA_LIMIT rows
     label = F
     for no in cuts:  # a quota of 0 has no point: the comparison is null and the next split is tried
-        label = label.when(_at_or_before(F.col("_h"), F.col(key).cast("string"), F.col(f"_h{no}"), F.col(f"_k{no}")),
-                           F.lit(names[no]))
-    label = F.lit(names[-1]) if label is F else label.otherwise(F.lit(names[-1]))
-    joined = tagged.join(F.broadcast(limits), "_s", "left").withColumn("split", label)
+        inside = _at_or_before(F.col("_h"), F.col(rule.key).cast("string"), F.col(f"_h{no}"), F.col(f"_k{no}"))
+        label = label.when(inside, F.lit(rule.names[no]))
+    label = F.lit(rule.names[-1]) if label is F else label.otherwise(F.lit(rule.names[-1]))
+    tagged = df.withColumns({"_s": _stratum(rule.by), "_h": digest(rule.key, rule.seed, _ORDER)})
+    joined = tagged.join(F.broadcast(limits), "_s", "left").withColumn(output, label)
     return joined.drop("_s", "_h", *[f"_{part}{no}" for part in "hk" for no in cuts])
 
 
+def edges_below_columns(value: Column, edges: list[Column]) -> Column:
+    """Number of edge columns smaller than the value."""
+    return sum((F.when(value > e, 1).otherwise(0) for e in edges), F.lit(0))
+
+
+def stratified_split(df: DataFrame, by: str = ACTION, fractions: Mapping[str, float] | None = None,
+                     seed: int = 42, key: str = ID) -> DataFrame:
+    """Add `split`: every stratum is divided in the given shares, exact to the row.
+
+    `by` is the stratum column, `fractions` an ordered mapping of split name to share.
+    """
+    return apply_split(df, fit_split(df, by, fractions or {"train": 0.8, "test": 0.2}, seed, key))
+
+
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = ID) -> DataFrame:
     """Exactly n rows without replacement; an error when there are fewer."""
     if n <= 0:
@@ -220,26 +245,47 @@ def stratum_of(column: str, edges: list[float]) -> Column:
     return F.when(value.between(edges[0], edges[-1]), edges_below(value, edges[1:-1]))
 
 
+def _require_strata(marked: DataFrame, edges: list[float], output: str) -> None:
+    sizes = marked.groupBy(output).agg(F.count("*").alias("n")).collect()  # at most q + 1 rows
+    if len(edges) < 2 or min(r["n"] for r in sizes) < 2:
+        raise ValueError("Not enough target variation to create a stratified split.")
+
+
 def quantile_strata(df: DataFrame, column: str, q: int = 10, output: str = "stratum") -> DataFrame:
     """Add the quantile stratum of a target; an error when a stratum has fewer than two rows."""
     edges = fit_strata(df, column, q)
     marked = df.withColumn(output, stratum_of(column, edges))
-    sizes = marked.groupBy(output).agg(F.count("*").alias("n")).collect()  # at most q + 1 rows
-    if len(edges) < 2 or min(r["n"] for r in sizes) < 2:
-        raise ValueError("Not enough target variation to create a stratified split.")
+    _require_strata(marked, edges, output)
     return marked
 
 
 def regression_split(df: DataFrame, target: str, test: float = 0.15, validation: float = 0.15,
                      q: int = 10, seed: int = 42, key: str = ID) -> DataFrame:
-    """Train/validation/test on target quantiles, strata recomputed after the test rows are taken."""
-    outer = stratified_split(quantile_strata(df, target, q), "stratum",
-                             {"rest": 1.0 - test, "test": test}, seed, key).drop("stratum")
-    rest = outer.where(F.col("split") == "rest").drop("split")
+    """Train/validation/test on target quantiles, strata recomputed after the test rows are taken.
+
+    Fitting works on the key and the target only; the result is one projection over the table.
+    """
     share = validation / (1.0 - test)
-    inner = stratified_split(quantile_strata(rest, target, q), "stratum",
-                             {"train": 1.0 - share, "validation": share}, seed + 1, key).drop("stratum")
-    return inner.unionByName(outer.where(F.col("split") == "test"))
+    slim = df.select(key, target).persist()
+    try:
+        outer_edges = fit_strata(slim, target, q)
+        marked = slim.withColumn("_stratum", stratum_of(target, outer_edges))
+        _require_strata(marked, outer_edges, "_stratum")
+        outer = fit_split(marked, "_stratum", {"rest": 1.0 - test, "test": test}, seed, key)
+        rest = apply_split(marked, outer, "_outer").where(F.col("_outer") == "rest").select(key, target).persist()
+        try:
+            inner_edges = fit_strata(rest, target, q)
+            again = rest.withColumn("_stratum", stratum_of(target, inner_edges))
+            _require_strata(again, inner_edges, "_stratum")
+            inner = fit_split(again, "_stratum", {"train": 1.0 - share, "validation": share}, seed + 1, key)
+        finally:
+            rest.unpersist()
+    finally:
+        slim.unpersist()
+    tested = apply_split(df.withColumn("_stratum", stratum_of(target, outer_edges)), outer, "_outer")
+    both = apply_split(tested.withColumn("_stratum", stratum_of(target, inner_edges)), inner, "split")
+    decided = F.when(F.col("_outer") == "test", F.lit("test")).otherwise(F.col("split"))
+    return both.withColumn("split", decided).drop("_stratum", "_outer")
 
 
 def split_report(df: DataFrame, column: str = ACTION, split: str = "split") -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from frostline.functions import decisions
 from frostline.functions.numeric import clip
-from frostline.operators.contracts import valid_rows, validate_ranges
 from frostline.schema import CLASSES, PREDICTED_RISK, PROBABILITIES, probability
 
 MODEL_NAME = "model"
@@ -70,7 +69,7 @@ def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel |
     Without models the risk and probability columns must already be there. Rows outside
     the allowed ranges are left out; `validate_ranges` and `quarantined_rows` show them.
     """
-    rows = valid_rows(validate_ranges(df))
+    rows = df.where(decisions.in_ranges())
     if risk_model is not None:
         rows = predict_risk(rows.drop(PREDICTED_RISK), risk_model)
     if classifier is not None:

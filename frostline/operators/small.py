@@ -21,5 +21,6 @@ def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "in
 
 
 def with_totals(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    """Attach a one-row aggregate (a group-less `agg`, so one row by construction)."""
-    return df.crossJoin(F.broadcast(one_row))
+    """Attach the columns of a one-row aggregate as a scalar subquery: no join, and more rows are an error."""
+    packed = one_row.select(F.struct(*[F.col(f"`{c}`") for c in one_row.columns]).alias("_totals")).scalar()
+    return df.withColumn("_totals", packed).select("*", "_totals.*").drop("_totals")

@@ -36,6 +36,9 @@ def test_ranges(cases):
     assert found["bad seal"] == found["no seal"] == ["Seal_Integrity_Index"]
     assert found["bad power"] == [WATTS]
     assert valid_rows(marked).count() == 3 and quarantined_rows(marked).count() == 3
+    assert {r["name"] for r in cases.where(decisions.in_ranges()).collect()} == {"safe", "warning", "emergency"}
+    nan = cases.where("name = 'safe'").withColumn(WATTS, F.lit(float("nan")))
+    assert nan.where(decisions.in_ranges()).count() == 0 and valid_rows(validate_ranges(nan)).count() == 0
 
 
 def test_override(cases):

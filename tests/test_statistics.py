@@ -34,6 +34,13 @@ def test_quantiles_edge_inputs(spark):
     assert [one["q0"], one["q1"], one["q2"]] == [3.0, 3.0, 3.0]
 
 
+def test_sketched_quantiles_are_close(readings):
+    exact = {r["feature"]: r["q0"] for r in quantiles.quantiles(readings, NUMERIC, [0.5]).collect()}
+    near = {r["feature"]: r["q0"] for r in quantiles.quantiles(readings, NUMERIC, [0.5], accuracy=10_000).collect()}
+    spread = {c: readings.agg(F.max(c) - F.min(c)).first()[0] for c in NUMERIC}
+    assert all(abs(exact[c] - near[c]) <= 0.02 * spread[c] for c in NUMERIC)
+
+
 def test_describe_empty_table(readings):
     rows = profiling.numerical_statistics(readings.limit(0)).collect()
     assert len(rows) == len(NUMERIC) and all(r["count"] == 0 and r["mean"] is None for r in rows)
