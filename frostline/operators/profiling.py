@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
-from frostline.operators.quantiles import quantiles, quantiles_of_counts, running_counts, value_counts
+from frostline.operators.quantiles import quantiles, running_counts, value_counts
 from frostline.operators.small import with_totals
 from frostline.schema import ACTION, NUMERIC, RISK, SAFE, WARNING
 from frostline.workspace import fresh_path
@@ -197,36 +197,45 @@ def class_mean_comparison(df: DataFrame, first: str = SAFE, second: str = WARNIN
     return means.withColumn("difference", F.col("second_mean") - F.col("first_mean"))
 
 
-def _counts_with_fences(df: DataFrame, columns: list[str], k: float) -> DataFrame:
-    """Distinct values with the fences of their column; both come from the same value counts."""
-    counts = value_counts(df, columns)
-    marks = quantiles_of_counts(counts, [0.25, 0.5, 0.75])
-    marks = marks.select("feature", F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"))
-    marks = marks.withColumn("iqr", F.col("q3") - F.col("q1")).withColumns({
-        "lower": F.col("q1") - F.lit(k) * F.col("iqr"), "upper": F.col("q3") + F.lit(k) * F.col("iqr")})
-    # one row per column name
-    return counts.join(F.broadcast(marks), "feature")
+def _fences(df: DataFrame, columns: list[str], k: float) -> dict[str, tuple]:
+    """Quartiles and fences (q1, median, q3, lower, upper) of each column: one row per column to the driver."""
+    found = {}
+    for r in quantiles(df, columns, [0.25, 0.5, 0.75]).collect():
+        iqr = r["q2"] - r["q0"]
+        found[r["feature"]] = (r["q0"], r["q1"], r["q2"], r["q0"] - k * iqr, r["q2"] + k * iqr)
+    return found
 
 
 def iqr_outliers(df: DataFrame, columns: list[str] = NUMERIC, k: float = 1.5) -> DataFrame:
-    """Quartiles and rows outside the fences; the share is of all rows."""
-    outside = (F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper"))
-    found = _counts_with_fences(df, columns, k).groupBy("feature").agg(
-        F.max("q1").alias("q1"), F.max("q3").alias("q3"), F.max("iqr").alias("iqr"),
-        F.sum(F.when(outside, F.col("n")).otherwise(0)).alias("outlier_count"))
-    rows = df.agg(F.count("*").alias("_rows"))
-    return with_totals(found, rows).withColumn(
-        "outlier_percentage", half_even(F.col("outlier_count") / F.col("_rows") * 100.0, 2)).drop("_rows")
+    """Quartiles and rows outside the fences; the share is of all rows. One aggregate after the quantiles."""
+    fences = _fences(df, columns, k)
+    known = [c for c in columns if c in fences]
+    outside = {c: (finite(c) < F.lit(fences[c][3])) | (finite(c) > F.lit(fences[c][4])) for c in known}
+    wide = df.agg(F.count("*").alias("_rows"), *[F.count_if(outside[c]).alias(f"{c}|outlier_count") for c in known])
+    bounds = [(c, fences[c][0], fences[c][2], fences[c][2] - fences[c][0]) for c in known]
+    quartiles = df.sparkSession.createDataFrame(bounds, "feature string, q1 double, q3 double, iqr double")
+    counted = stack_columns(wide, known, ["outlier_count"], "feature", ["_rows"]) if known else None
+    if counted is None:
+        return quartiles.selectExpr("*", "0L AS outlier_count", "0D AS outlier_percentage")
+    share = half_even(F.col("outlier_count") / F.col("_rows") * 100.0, 2)
+    return quartiles.join(counted, "feature").withColumn("outlier_percentage", share).drop("_rows")
 
 
 def boxplot_stats(df: DataFrame, columns: list[str] = NUMERIC, k: float = 1.5) -> DataFrame:
     """Quartiles, the furthest readings inside the fences, and the rows beyond them."""
-    inside = F.col("value").between(F.col("lower"), F.col("upper"))
-    return _counts_with_fences(df, columns, k).groupBy("feature").agg(
-        F.max("q1").alias("q1"), F.max("median").alias("median"), F.max("q3").alias("q3"),
-        F.min(F.when(inside, F.col("value"))).alias("whisker_low"),
-        F.max(F.when(inside, F.col("value"))).alias("whisker_high"),
-        F.sum(F.when(inside, 0).otherwise(F.col("n"))).alias("fliers"))
+    fences = _fences(df, columns, k)
+    known = [c for c in columns if c in fences]
+    aggregates = []
+    for c in known:
+        inside = finite(c).between(fences[c][3], fences[c][4])
+        aggregates += [
+            F.min(F.when(inside, F.col(c))).alias(f"{c}|whisker_low"), F.max(F.when(inside, F.col(c))).alias(f"{c}|whisker_high"),
+            F.count_if(~inside).alias(f"{c}|fliers")]
+    quartiles = df.sparkSession.createDataFrame(
+        [(c, *fences[c][:3]) for c in known], "feature string, q1 double, median double, q3 double")
+    if not known:
+        return quartiles.selectExpr("*", "0D AS whisker_low", "0D AS whisker_high", "0L AS fliers")
+    return quartiles.join(stack_columns(df.agg(*aggregates), known, ["whisker_low", "whisker_high", "fliers"], "feature"), "feature")
 
 
 def target_summary(df: DataFrame, column: str = RISK) -> DataFrame:

@@ -5,11 +5,21 @@ all rows becomes one row before the shuffle. The distinct values are cut into ra
 similar size and running counts are taken inside each range; no task holds a whole column.
 """
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from frostline.operators.small import rows_if_small
 
 # Ranges of distinct values per column, between these bounds and following the shuffle width.
 FEWEST_RANGES, MOST_RANGES = 8, 512
 
+# Above this many rows a sketch brackets the wanted ranks first; its rank error is 1 / ACCURACY.
+NARROW_ROWS = 20_000_000
+ACCURACY = 10_000
+MARGIN = 3.0 / ACCURACY
+GROUP_LIMIT = 10_000
+
 
 def range_count(spark: SparkSession) -> int:
     return max(FEWEST_RANGES, min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
@@ -53,34 +63,93 @@ def running_counts(counts: DataFrame, by: list[str] | None = None, ranges: int |
     )
 
 
-def quantiles_of_counts(counts: DataFrame, probs: list[float], by: list[str] | None = None,
-                        ranges: int | None = None) -> DataFrame:
-    """Linear-interpolated quantiles `q0..` per group and feature."""
-    keys = [*(by or []), "feature"]
-    rows = running_counts(counts, by, ranges)
+def _located(counts: DataFrame, probs: list[float], by: list[str] | None) -> DataFrame:
+    """The two neighbouring values `lo0, hi0, ...` of each quantile, and the rows per group."""
+    rows = running_counts(counts, by)
     first, last = F.col("before"), F.col("before") + F.col("n") - 1
     ends = []
     for i, p in enumerate(probs):
         place = (F.col("total") - 1) * F.lit(float(p))
         for side, rank in (("lo", F.floor(place)), ("hi", F.ceil(place))):
             ends.append(F.max(F.when((first <= rank) & (rank <= last), F.col("value"))).alias(f"{side}{i}"))
-    found = rows.groupBy(*keys).agg(F.max("total").alias("total"), *ends)
+    return rows.groupBy(*(by or []), "feature").agg(F.max("total").alias("total"), *ends)
+
+
+def _interpolated(located: DataFrame, probs: list[float], keys: list[str]) -> DataFrame:
     outputs = []
     for i, p in enumerate(probs):
         place = (F.col("total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
         outputs.append((lo + (hi - lo) * (place - F.floor(place))).alias(f"q{i}"))
-    return found.select(*keys, *outputs)
+    return located.select(*keys, *outputs)
+
+
+def _brackets(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> dict[str, list[tuple]] | None:
+    """Disjoint value intervals of each column that hold every wanted rank of every group, from one sketch.
+
+    None when there are too many groups to bring the intervals to the driver.
+    """
+    ends = [min(1.0, max(0.0, p + side * MARGIN)) for p in probs for side in (-1, 1)]
+    sketch = _long(df, columns, by).groupBy(*by, "feature").agg(F.percentile_approx("value", ends, ACCURACY).alias("ends"))
+    rows = rows_if_small(sketch, GROUP_LIMIT)
+    if rows is None:
+        return None
+    found: dict[str, list[tuple]] = {}
+    for feature in {r["feature"] for r in rows}:
+        merged: list[tuple] = []
+        pairs = (pair for r in rows if r["feature"] == feature for pair in zip(r["ends"][::2], r["ends"][1::2]))
+        for lo, hi in sorted(pairs):
+            if merged and lo <= merged[-1][1]:
+                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
+            else:
+                merged.append((lo, hi))
+        found[feature] = merged
+    return found
+
+
+def _coarse(column: str, intervals: list[tuple]) -> Column:
+    """The value inside the intervals; one stand-in per gap outside, which keeps the order and the counts."""
+    value = F.col(column).cast("double")
+    kept = F.when(value.isNull() | F.isnan(value), F.lit(None).cast("double"))
+    for lo, hi in intervals:
+        kept = kept.when(value < F.lit(lo), F.lit(math.nextafter(lo, -math.inf))).when(value <= F.lit(hi), value)
+    return kept.otherwise(F.lit(math.nextafter(intervals[-1][1], math.inf)))
+
+
+def _narrowed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame | None:
+    """Exact quantiles of a large table: only values near the wanted ranks are counted one by one.
+
+    None when a wanted rank is not inside its interval, or there are too many groups.
+    """
+    intervals = _brackets(df, columns, probs, by)
+    if not intervals:
+        return None
+    present = [c for c in columns if c in intervals]
+    coarse = df.select(*by, *[_coarse(c, intervals[c]).alias(c) for c in present])
+    located = _located(value_counts(coarse, present, by), probs, by)
+    rows = located.collect()  # as many rows as the sketch had
+    for r in rows:
+        for i in range(len(probs)):
+            if not all(any(lo <= r[f"{side}{i}"] <= hi for lo, hi in intervals[r["feature"]]) for side in ("lo", "hi")):
+                return None
+    return _interpolated(df.sparkSession.createDataFrame(rows, located.schema), probs, [*by, "feature"])
 
 
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
               accuracy: int | None = None) -> DataFrame:
-    """Exact quantiles `q0..` of each column, per group; with `accuracy` a sketch with rank error 1 / accuracy instead.
+    """Linear-interpolated exact quantiles `q0..` of each column, per group.
 
-    The sketch moves no distinct values and suits raw doubles that hardly ever repeat.
+    A table above `NARROW_ROWS` rows is first bracketed by a sketch, so that columns whose values
+    hardly ever repeat are not shuffled whole. With `accuracy` the sketch itself is the answer
+    (rank error 1 / accuracy).
     """
-    if accuracy is None:
-        return quantiles_of_counts(value_counts(df, columns, by), probs, by)
-    keys = [*(by or []), "feature"]
-    marks = _long(df, columns, by or []).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
-    return marks.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+    by = by or []
+    keys = [*by, "feature"]
+    if accuracy is not None:
+        marks = _long(df, columns, by).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
+        return marks.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+    if df.count() > NARROW_ROWS:
+        narrowed = _narrowed(df, columns, probs, by)
+        if narrowed is not None:
+            return narrowed
+    return _interpolated(_located(value_counts(df, columns, by), probs, by), probs, keys)

@@ -28,6 +28,23 @@ def test_quantiles_equal_numpy(spark, partitions, width):
     np.testing.assert_allclose(found["b"], np.quantile(values[values <= 2], probs), rtol=1e-12)
 
 
+@pytest.mark.parametrize("margin", [3e-4, 0.05, -1e-9])
+def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, margin):
+    """Through the sketch; with a margin too small for this table the full count must take over."""
+    monkeypatch.setattr(quantiles, "NARROW_ROWS", 100)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
+    rng = np.random.default_rng(5)
+    frame = [(("x", "y")[i % 2], float(v), float(round(v, 1)) if i % 5 else None) for i, v in enumerate(rng.normal(size=20_001))]
+    rows = spark.createDataFrame(frame, "g string, a double, b double")
+    probs = [0.0, 0.1, 0.5, 0.9, 1.0]
+    found = {(r["g"], r["feature"]): [r[f"q{i}"] for i in range(5)] for r in quantiles.quantiles(rows, ["a", "b"], probs, ["g"]).collect()}
+    for g in "xy":
+        a = [f[1] for f in frame if f[0] == g]
+        b = [f[2] for f in frame if f[0] == g and f[2] is not None]
+        np.testing.assert_allclose(found[(g, "a")], np.quantile(a, probs), rtol=1e-12)
+        np.testing.assert_allclose(found[(g, "b")], np.quantile(b, probs), rtol=1e-12)
+
+
 def test_quantiles_edge_inputs(spark):
     assert quantiles.quantiles(spark.createDataFrame([], "a double"), ["a"], [0.5]).count() == 0
     one = quantiles.quantiles(spark.createDataFrame([(3.0,)], "a double"), ["a"], [0.0, 0.5, 1.0]).first()
