@@ -14,6 +14,8 @@ from frostline.operators.small import rows_if_small
 # Ranges of distinct values per column, between these bounds and following the shuffle width.
 FEWEST_RANGES, MOST_RANGES = 8, 512
 
+# Up to this many rows a group's distinct values fit in a task's memory.
+FEW_ROWS = 1_000_000
 # Above this many rows a sketch brackets the wanted ranks first; its rank error is 1 / ACCURACY.
 NARROW_ROWS = 20_000_000
 ACCURACY = 10_000
@@ -139,16 +141,23 @@ def quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[st
               accuracy: int | None = None) -> DataFrame:
     """Linear-interpolated exact quantiles `q0..` of each column, per group.
 
-    A table above `NARROW_ROWS` rows is first bracketed by a sketch, so that columns whose values
-    hardly ever repeat are not shuffled whole. With `accuracy` the sketch itself is the answer
-    (rank error 1 / accuracy).
+    Up to `FEW_ROWS` rows, Spark's own `percentile` holds a group in memory. A larger table is cut into
+    ranges, and above `NARROW_ROWS` rows it is first bracketed by a sketch, so that columns whose
+    values hardly ever repeat are not shuffled whole. With `accuracy` the sketch itself is the
+    answer (rank error 1 / accuracy).
     """
     by = by or []
     keys = [*by, "feature"]
-    if accuracy is not None:
-        marks = _long(df, columns, by).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
+
+    def listed(marks: DataFrame) -> DataFrame:
         return marks.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
-    if df.count() > NARROW_ROWS:
+
+    if accuracy is not None:
+        return listed(_long(df, columns, by).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q")))
+    rows = df.count()
+    if rows <= FEW_ROWS:
+        return listed(_long(df, columns, by).groupBy(*keys).agg(F.percentile("value", F.lit(probs)).alias("q")))
+    if rows > NARROW_ROWS:
         narrowed = _narrowed(df, columns, probs, by)
         if narrowed is not None:
             return narrowed

@@ -12,8 +12,9 @@ def _pairs(rows):
     return {(r["feature_1"], r["feature_2"]): r["correlation"] for r in rows.collect()}
 
 
-@pytest.mark.parametrize("partitions,width", [(1, "8"), (8, "400")])
-def test_quantiles_equal_numpy(spark, partitions, width):
+@pytest.mark.parametrize("partitions,width,few", [(1, "8", 10**6), (1, "8", 0), (8, "400", 0)])
+def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, few):
+    monkeypatch.setattr(quantiles, "FEW_ROWS", few)
     values = np.concatenate([np.full(3000, 7.25), np.random.default_rng(1).normal(size=3001), [1e9, -1e9]])
     rows = spark.createDataFrame([(float(v), None if v > 2 else float(v)) for v in values], "a double, b double")
     rows = rows.unionByName(spark.createDataFrame([(float("nan"), float("nan"))], "a double, b double")).repartition(partitions)
@@ -31,6 +32,7 @@ def test_quantiles_equal_numpy(spark, partitions, width):
 @pytest.mark.parametrize("margin", [3e-4, 0.05, -1e-9])
 def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, margin):
     """Through the sketch; with a margin too small for this table the full count must take over."""
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 10)
     monkeypatch.setattr(quantiles, "NARROW_ROWS", 100)
     monkeypatch.setattr(quantiles, "MARGIN", margin)
     rng = np.random.default_rng(5)
