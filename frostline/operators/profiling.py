@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
-from frostline.operators.quantiles import quantiles, running_counts, value_counts
+from frostline.operators.quantiles import FEW_ROWS, quantiles, running_counts, value_counts
 from frostline.operators.small import with_totals
 from frostline.schema import ACTION, NUMERIC, RISK, SAFE, WARNING
 from frostline.workspace import fresh_path
@@ -155,9 +155,10 @@ def spearman_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | N
     spark = df.sparkSession
     complete = df.select(*[finite(c).alias(c) for c in columns]).na.drop()
     path = fresh_path(spark, "ranks")
-    running_counts(value_counts(complete, columns)).select(
+    ranges = 1 if df.count() <= FEW_ROWS else None
+    running_counts(value_counts(complete, columns), ranges=ranges).select(
         "feature", "value", "n", "total", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank")
-    ).write.partitionBy("feature").parquet(path)
+    ).write.partitionBy("feature").parquet(path)  # one folder per column name
     ranks = spark.read.schema("feature string, value double, n bigint, total bigint, rank double").parquet(path)
     middle = (F.col("total") + 1) / 2.0
     spread = F.sqrt(F.sum(F.col("n") * (F.col("rank") - middle) * (F.col("rank") - middle)) / F.max("total"))

@@ -39,9 +39,17 @@ def value_counts(df: DataFrame, columns: list[str], by: list[str] | None = None)
 
 
 def running_counts(counts: DataFrame, by: list[str] | None = None, ranges: int | None = None) -> DataFrame:
-    """Add `before` (rows with a smaller value in the group) and `total`."""
+    """Add `before` (rows with a smaller value in the group) and `total`.
+
+    One range puts a group's distinct values into one task; that is only for tables known to be small.
+    """
     keys = [*(by or []), "feature"]
     ranges = ranges or range_count(counts.sparkSession)
+    if ranges == 1:
+        group = Window.partitionBy(*keys)
+        earlier = group.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.withColumns({
+            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(group)})
     steps = [i / ranges for i in range(1, ranges)]
     # one row per feature name: bounded by the column list
     edges = counts.where("n > 0").groupBy("feature").agg(F.percentile_approx("value", steps, 20 * ranges).alias("edges"))

@@ -65,7 +65,9 @@ def test_describe_empty_table(readings):
     assert len(rows) == len(NUMERIC) and all(r["count"] == 0 and r["mean"] is None for r in rows)
 
 
-def test_correlations_equal_pandas(readings):
+@pytest.mark.parametrize("few", [10**6, 0])
+def test_correlations_equal_pandas(readings, monkeypatch, few):
+    monkeypatch.setattr(profiling, "FEW_ROWS", few)
     frame = readings.select(NUMERIC).toPandas()
     for build, method in ((profiling.pearson_matrix, "pearson"), (profiling.spearman_matrix, "spearman")):
         expected = frame.corr(method=method)
