@@ -2,7 +2,6 @@
 
 from functools import reduce
 
-from pyspark.sql import functions as F
 
 from frostline.catalog.sql import (
     ACTION, ACTUAL, AMBIENT, CARGO, EMERGENCY, ID, NUMERIC, RISK, SAFE, SEAL, SET_POINT, WARNING, WARNING_ROWS, WATTS,
