@@ -2,7 +2,6 @@
 
 from functools import reduce
 
-
 from frostline.catalog.sql import (
     ACTION, ACTUAL, AMBIENT, CARGO, EMERGENCY, ID, NUMERIC, RISK, SAFE, SEAL, SET_POINT, WARNING, WARNING_ROWS, WATTS,
     between, bound, by_feature, columns, digest, draws, normal, number, numbered, r6, uniform, views,
