@@ -1,15 +1,17 @@
 """Queries of the operators on training text, and the SQL that checks them in DuckDB."""
 
 import corpus_pipeline
-from frostline.llm import decontaminate, sharding, urls
+from frostline.llm import decontaminate, sharding, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_sharding": sharding.op3_sharding,
     "op7_urls": urls.op7_urls,
+    "op10_warc": warc.op10_warc,
 }
 CHECKS = {
     "op1_decontaminate": decontaminate.SQL,
     "op3_sharding": sharding.SQL,
     "op7_urls": urls.SQL,
+    "op10_warc": warc.SQL,
 }
