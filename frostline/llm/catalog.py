@@ -1,13 +1,14 @@
 """Queries of the operators on training text, and the SQL that checks them in DuckDB."""
 
 import corpus_pipeline
-from frostline.llm import compression, decontaminate, sharding, urls, warc
+from frostline.llm import compression, decontaminate, quality, sharding, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_sharding": sharding.op3_sharding,
     "op5_compression": compression.op5_compression,
     "op7_urls": urls.op7_urls,
+    "op9_quality": quality.op9_quality,
     "op10_warc": warc.op10_warc,
 }
 CHECKS = {
