@@ -1,7 +1,10 @@
 """Words of texts, hashed in bulk, and the keys under which equal texts meet."""
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
 from frostline.workspace import fresh_path
@@ -110,3 +113,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def small_slices(batch: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows with about `size` bytes of text, so that what is computed beside it stays bounded."""
+    lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
+    part = np.cumsum(lengths, dtype=np.int64) // size
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows]
+    return (batch.slice(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a)
