@@ -1,13 +1,14 @@
 """Queries of the operators on training text, and the SQL that checks them in DuckDB."""
 
 import corpus_pipeline
-from frostline.llm import compression, decontaminate, licenses, orderminhash, quality, sharding, urls, warc
+from frostline.llm import compression, decontaminate, licenses, orderminhash, packing, quality, sharding, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
     "op3_sharding": sharding.op3_sharding,
     "op4_licenses": licenses.op4_licenses,
     "op5_compression": compression.op5_compression,
+    "op6_packing": packing.op6_packing,
     "op7_urls": urls.op7_urls,
     "op8_orderminhash": orderminhash.op8_orderminhash,
     "op9_quality": quality.op9_quality,

@@ -54,28 +54,40 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a batch of texts, and where each row's words begin (one bound more than rows).
-
-    The batch is walked in pieces of about a megabyte that end between words, so memory beside the result is bounded.
-    """
+def flat_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all texts one after another, and each row's bounds among them."""
+    if not len(texts):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     texts = texts.cast(pa.large_binary())
-    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1] if len(texts) else np.zeros(1, np.int64)
-    held = texts.buffers()[2] if len(texts) else None
+    bounds = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset:texts.offset + len(texts) + 1]
+    held = texts.buffers()[2]
     data = np.frombuffer(held, np.uint8)[bounds[0]:bounds[-1]] if held is not None else np.zeros(0, np.uint8)
-    bounds = bounds - bounds[0]
-    hashes, begins, at = [], [], 0
+    return data, bounds - bounds[0]
+
+
+def word_spans(data: np.ndarray, bounds: np.ndarray, fold: np.ndarray = _FOLD_ZERO,
+               apart: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hashes of all words, where they start and stop, and where each row's words begin (one bound more than rows).
+
+    `fold` gives for each byte what it counts as, 0 outside words; `apart` marks bytes that are words of their own. The
+    batch is walked in pieces of about a megabyte that end between words, so memory beside the result is bounded.
+    """
+    hashes, starts, stops, at = [], [], [], 0
     while at < len(data):
         end = min(at + _STEP, len(data))
-        while end < len(data) and _FOLD_ZERO[data[end]]:
-            blank = np.flatnonzero(_FOLD_ZERO[data[end:end + _STEP]] == 0)
+        while end < len(data) and fold[data[end]]:
+            blank = np.flatnonzero(fold[data[end:end + _STEP]] == 0)
             end = end + int(blank[0]) if len(blank) else min(end + _STEP, len(data))
-        piece = _FOLD_ZERO[data[at:end]]
+        piece = fold[data[at:end]]
         inside = piece != 0
         first = inside.copy()
         first[1:] &= ~inside[:-1]
         rows = bounds[np.searchsorted(bounds, at):np.searchsorted(bounds, end)] - at
         first[rows] = inside[rows]
+        if apart is not None:
+            alone = apart[at:end]
+            first |= alone
+            first[1:] |= alone[:-1] & inside[1:]
         start = np.flatnonzero(first)
         last = inside.copy()
         last[:-1] &= ~inside[1:] | first[1:]
@@ -83,11 +95,19 @@ def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         power, inverse = _power_tables(len(piece))
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(piece * power[:len(piece)])])
         hashes.append(mix((total[stop] - total[start]) * inverse[start]))
-        begins.append(start + at)
+        starts.append(start + at)
+        stops.append(stop + at)
         at = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(bounds), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(begins), bounds)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(bounds), np.int64)
+    starts = np.concatenate(starts)
+    return np.concatenate(hashes), starts, np.concatenate(stops), np.searchsorted(starts, bounds)
+
+
+def hashed_words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of a batch of texts, and where each row's words begin (one bound more than rows)."""
+    hashes, _, _, rows = word_spans(*flat_bytes(texts))
+    return hashes, rows
 
 
 def shingles(hashes: np.ndarray, bounds: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
