@@ -2,8 +2,8 @@
 
 Base: counts of words, symbols, repeated lines and repeated three-word windows, with two limits. Beyond them a document
 is judged by how much likelier its hashed words and word pairs are under a trusted target than under the raw corpus:
-the mean, over its n-grams, of the log ratio of the two smoothed multinomials. The same document gets the same verdict
-in any order, partitioning or run, as the threshold is fixed.
+the mean, over its words and pairs as they are written, of the log ratio of the two smoothed multinomials. The same
+document gets the same verdict in any order, partitioning or run, as the threshold is fixed.
 
 A null or empty text has no words and fails the base. Repeated rows are judged alike and counted as often as they come.
 Without trusted documents all ratios are 0 and the base decides. An empty table gives no row. The results stand in one
@@ -12,9 +12,8 @@ struct column; a column of that name is replaced and all others stay.
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from frostline.llm.text import LOWER, UPPER
-
 WORD = r"[^\x20\x09-\x0D]+"
+#: Hash buckets of words and pairs; a power of two.
 BUCKETS = 1 << 16
 #: Trusted documents that the target is counted on: those with the smallest hash of their id. The corpus is counted whole.
 TRUSTED_ROWS = 100_000
@@ -35,10 +34,10 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(WORD), F.lit(0))
 
 
-def repeated_words(words: Column, k: int = 3) -> Column:
-    """Words inside k-word windows that the text has twice or more; `words` must be a column or a lambda's variable."""
-    spots = F.transform(F.sequence(F.lit(0), F.size(words) - k), lambda i: F.struct(
-        F.xxhash64(*[F.get(words, i + j) for j in range(k)]).alias("h"), i.alias("i")))
+def repeated_words(names: Column, k: int = 3) -> Column:
+    """Words inside k-word windows that the text has twice or more; `names` (hashes of its words) is a lambda's variable."""
+    windows = F.transform(F.slice(names, 1, F.greatest(F.size(names) - k + 1, F.lit(0))),
+                          lambda x, i: F.xxhash64(x, *[F.get(names, i + j) for j in range(1, k)]))
 
     def twins(spots: Column) -> Column:
         same = lambda x, i: F.coalesce(x["h"] == F.get(spots, i)["h"], F.lit(False))
@@ -48,29 +47,35 @@ def repeated_words(words: Column, k: int = 3) -> Column:
         steps = F.transform(starts, lambda x, i: F.least(F.lit(k), F.coalesce(F.get(starts, i + 1) - x, F.lit(k))))
         return F.aggregate(steps, F.lit(0).cast("bigint"), lambda n, x: n + x)
 
-    unequal = F.size(F.array_distinct(F.transform(spots, lambda x: x["h"]))) < F.size(words) - k + 1
-    return F.when((F.size(words) >= k) & unequal, let(F.sort_array(spots), lambda s: let(twins(s), covered))).otherwise(F.lit(0).cast("bigint"))
+    def counted(windows: Column) -> Column:
+        spots = F.sort_array(F.transform(windows, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        twice = F.size(F.array_distinct(windows)) < F.size(windows)
+        return F.when(twice, let(spots, lambda s: let(twins(s), covered))).otherwise(F.lit(0).cast("bigint"))
+
+    return let(windows, counted)
 
 
-def buckets_of(words: Column, buckets: int = BUCKETS) -> Column:
-    """Hash buckets of all words and pairs of neighbours; `words` must be a column or a lambda's variable."""
-    pairs = F.transform(words, lambda w, i: F.xxhash64(w, F.get(words, i + 1)))
-    return F.transform(F.concat(F.transform(words, lambda w: F.xxhash64(w)), F.slice(pairs, 1, F.greatest(F.size(words) - 1, F.lit(0)))),
-                       lambda h: F.pmod(h, F.lit(buckets)).cast("int"))
+def bucket(*words: Column) -> Column:
+    """The hash bucket of a word, by its own hash, or of a pair, by the hash of theirs."""
+    return (words[0] if len(words) == 1 else F.xxhash64(*words)).bitwiseAND(F.lit(BUCKETS - 1)).cast("int")
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str, buckets: int = BUCKETS) -> Column:
+def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> Column:
     """A scalar subquery: for each bucket the log of its share in the target over its share in the corpus."""
     ids = trusted.select(F.col(doc_id).alias("_id")).where("_id IS NOT NULL").distinct()
     ids = ids.orderBy(F.xxhash64("_id"), "_id").limit(TRUSTED_ROWS).withColumn("_trusted", F.lit(1))
     marked = docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(F.broadcast(ids), "_id", "left")
-    marked = marked.select("_trusted", words_of(F.translate("_text", UPPER, LOWER)).alias("_words"))
-    grams = marked.select("_trusted", F.explode(buckets_of(F.col("_words"), buckets)).alias("id"))
+    # No lambdas here, so that the whole pass is generated code.
+    names = marked.select("_trusted", words_of(F.col("_text")).alias("w"))
+    places = names.select("_trusted", F.explode(F.arrays_zip("w", F.expr("slice(w, 2, greatest(size(w) - 1, 0))").alias("v"))).alias("p"))
+    hashed = places.select("_trusted", F.xxhash64("p.w").alias("h"), F.when(F.col("p.v").isNotNull(), F.xxhash64("p.v")).alias("g"))
+    pair = F.when(F.col("g").isNotNull(), bucket(F.col("h"), F.col("g")))
+    grams = hashed.select("_trusted", F.explode(F.array(bucket(F.col("h")), pair)).alias("id")).where("id IS NOT NULL")
     counts = grams.groupBy("id").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
     sums = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("target").alias("target"))).scalar()
     expected = F.col("raw") * (sums["target"] / sums["raw"])
     seen = counts.select("id", F.log((F.col("target") + STEADY) / (expected + STEADY)).alias("r"))
-    every = docs.sparkSession.range(buckets).join(seen, "id", "left")
+    every = docs.sparkSession.range(BUCKETS).join(seen, "id", "left")
     rows = F.sort_array(F.collect_list(F.struct("id", F.coalesce("r", F.lit(0.0)).alias("r"))))
     return every.agg(F.transform(rows, lambda x: x["r"]).alias("ratios")).scalar()
 
@@ -81,9 +86,11 @@ def judge(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
     held = F.coalesce(F.col(text), F.lit(""))
     lines = F.filter(F.split(held, "\n"), lambda x: x.rlike(WORD))
 
-    def mean(buckets: Column) -> Column:
-        total = F.aggregate(buckets, F.lit(0.0), lambda s, x: s + F.get(F.col("_ratios"), x))
-        return total / F.nullif(F.size(buckets), F.lit(0))
+    def mean(names: Column) -> Column:
+        pairs = F.zip_with(names, F.slice(names, 2, F.greatest(F.size(names) - 1, F.lit(0))), lambda x, y: F.when(y.isNotNull(), bucket(x, y)))
+        grams = F.concat(F.transform(names, lambda x: bucket(x)), pairs)
+        total = F.aggregate(grams, F.lit(0.0), lambda s, x: s + F.coalesce(F.get(F.col("_ratios"), x), F.lit(0.0)))
+        return total / F.nullif(2 * F.size(names) - 1, F.lit(-1))
 
     def counts(words: Column) -> Column:
         return F.struct(
@@ -91,12 +98,14 @@ def judge(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
             F.length(F.array_join(words, "")).cast("bigint").alias("word_chars"),
             F.regexp_count(held, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")).alias("n_dup_lines"),
-            repeated_words(words).alias("n_repeat_words"),
-            let(F.transform(words, lambda w: F.translate(w, UPPER, LOWER)), lambda w: let(buckets_of(w), mean)).alias("log_ratio"))
+            let(F.transform(words, lambda w: F.xxhash64(w)), lambda names: F.struct(
+                repeated_words(names).alias("n_repeat_words"), mean(names).alias("log_ratio"))).alias("_of_names"))
 
     # The one reference to _ratios lets the optimizer put the subquery itself in its place: the array isn't copied into rows.
     rows = docs.drop(out).withColumn("_ratios", log_ratios(docs, trusted, doc_id, text))
     rows = rows.withColumn("_counts", let(words_of(F.col(text)), counts))
+    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "_of_names.n_repeat_words", "_of_names.log_ratio"]
+    rows = rows.withColumn("_counts", F.struct(*[F.col(f"_counts.{c}") for c in own]))
     count = F.col("_counts")
     failed = (count["n_words"] < LEAST_WORDS) | (100 * count["n_repeat_words"] > MOST_REPEATED * count["n_words"])
     kept = ~failed & (F.coalesce(count["log_ratio"], F.lit(0.0)) >= least)
