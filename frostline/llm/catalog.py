@@ -1,10 +1,11 @@
 """Queries of the operators on training text, and the SQL that checks them in DuckDB."""
 
 import corpus_pipeline
-from frostline.llm import compression, decontaminate, licenses, orderminhash, packing, quality, sharding, urls, warc
+from frostline.llm import compression, decontaminate, licenses, orderminhash, packing, passages, quality, sharding, urls, warc
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1_decontaminate,
+    "op2_passages": passages.op2_passages,
     "op3_sharding": sharding.op3_sharding,
     "op4_licenses": licenses.op4_licenses,
     "op5_compression": compression.op5_compression,
