@@ -14,6 +14,7 @@ QUERIES = {
     "op8_orderminhash": orderminhash.op8_orderminhash,
     "op9_quality": quality.op9_quality,
     "op10_warc": warc.op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 CHECKS = {
     "op1_decontaminate": decontaminate.SQL,

@@ -183,3 +183,9 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM docs LEFT JOIN counts USING (r) LEFT JOIN named USING (r)
 """
+
+
+def decontamination_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without benchmark passages."""
+    found = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return found.where(F.size("leaks.spans") == 0).drop("leaks")
