@@ -1,6 +1,8 @@
 """Profiles and statistics."""
 
 
+from pyspark.sql import functions as F
+
 from frostline.catalog.sql import ACTION, CARGO, ID, NUMERIC, RISK, SAFE, WARNING, by_feature, r6, views
 from frostline.fixtures import faulty, telemetry
 from frostline.functions.numeric import rounded
@@ -18,9 +20,10 @@ def _rows(spark, sf_dir):
     return telemetry(spark, sf_dir).drop("Event_Time")
 
 
-def _without_id(spark, sf_dir):
-    """Readings of the two columns that repeat, so that duplicates exist."""
-    return telemetry(spark, sf_dir).select(CARGO, "Internal_Set_Point_C", "Ambient_External_Temp_C", ACTION)
+def _repeated(spark, sf_dir):
+    """All readings, and the WARNING ones once more: whole rows repeat."""
+    rows = telemetry(spark, sf_dir)
+    return rows.unionByName(rows.where(F.col(ACTION) == WARNING))
 
 
 _DESCRIBED = ["mean", "std", "min", "max"]
@@ -62,7 +65,7 @@ def _eda_summary(spark, sf_dir):
 
 QUERIES = {
     "dataset_overview": lambda s, d: ops.dataset_overview(faulty(s, d)),
-    "duplicate_count": lambda s, d: ops.duplicate_count(_without_id(s, d)),
+    "duplicate_count": lambda s, d: ops.duplicate_count(_repeated(s, d)),
     "missing_values": lambda s, d: ops.missing_values(faulty(s, d)),
     "class_distribution": lambda s, d: _round(ops.class_distribution(_rows(s, d)), ["percentage"], ["class", "count"]),
     "numerical_statistics": _numerical,
@@ -151,8 +154,8 @@ CHECKS = {
         UNION ALL SELECT 'duplicate_rows', '', CAST(CAST(sum(n - 1) AS BIGINT) AS VARCHAR) FROM (SELECT count(*) AS n FROM faulty GROUP BY ALL, {', '.join(_FAULTY)})
         UNION ALL SELECT 'missing', "column", CAST(nulls AS VARCHAR) FROM nulls
         UNION ALL SELECT 'type', col, kind FROM types""".replace("GROUP BY ALL, ", "GROUP BY "),
-    "duplicate_count": views() + f""" SELECT CAST(sum(n - 1) AS BIGINT) AS duplicate_rows FROM
-        (SELECT count(*) AS n FROM telemetry GROUP BY {CARGO}, Internal_Set_Point_C, Ambient_External_Temp_C, {ACTION})""",
+    "duplicate_count": views() + f""", twice AS (SELECT * FROM telemetry UNION ALL SELECT * FROM telemetry WHERE {ACTION} = '{WARNING}')
+        SELECT CAST((SELECT count(*) FROM twice) - count(*) AS BIGINT) AS duplicate_rows FROM (SELECT DISTINCT * FROM twice)""",
     "missing_values": views("faulty") + f', nulls AS ({_NULLS}) SELECT * FROM nulls UNION ALL SELECT \'(total)\', CAST(sum(nulls) AS BIGINT) FROM nulls',
     "class_distribution": views() + f" SELECT {ACTION} AS class, count(*) AS count, {r6('count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) * 100e0')} AS percentage FROM telemetry GROUP BY 1",
     "numerical_statistics": views() + " " + by_feature("telemetry", NUMERIC, f"SELECT '{{c}}' AS feature, {_stats([5, 25, 50, 75, 95])} FROM {{t}}"),

@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
-from frostline.operators.quantiles import FEW_ROWS, quantiles, running_counts, value_counts
+from frostline.operators.quantiles import quantiles, range_count, running_counts, value_counts
 from frostline.operators.small import with_totals
 from frostline.schema import ACTION, NUMERIC, RISK, SAFE, WARNING
 from frostline.workspace import fresh_path
@@ -15,8 +15,13 @@ LEAKAGE = [RISK]
 
 
 def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows equal to an earlier row on all columns."""
-    groups = df.groupBy(*df.columns).agg(F.count("*").alias("n"))
+    """Rows equal to an earlier row on all columns.
+
+    Rows are counted by two 64-bit hashes of all columns, so their bytes don't travel; nulls are values like others.
+    """
+    value = {c: F.col(f"`{c}`") + 0.0 if t in ("double", "float") else F.col(f"`{c}`") for c, t in df.dtypes}  # -0.0 equals 0.0
+    marked = [x for v in value.values() for x in (v, v.isNull())]
+    groups = df.groupBy(F.xxhash64(*marked).alias("a"), F.xxhash64(F.lit(1), *marked).alias("b")).agg(F.count("*").alias("n"))
     return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicate_rows"))
 
 
@@ -28,25 +33,23 @@ def missing_values(df: DataFrame, columns: list[str] | None = None) -> DataFrame
 
 
 def dataset_overview(df: DataFrame) -> DataFrame:
-    """Rows, columns, duplicates, and nulls and type of each column."""
-    rows = df.agg(F.count("*").alias("value")).select(F.lit("rows").alias("metric"), F.lit("").alias("column"), F.col("value").cast("string"))
-    columns = rows.select(F.lit("columns").alias("metric"), "column", F.lit(str(len(df.columns))).alias("value"))
+    """Rows, columns, duplicates, and nulls and type of each column: one scan for counts, one for duplicates."""
+    kind = "metric string, column string, value string"
+    known = [("columns", "", str(len(df.columns))), *(("type", c, t) for c, t in df.dtypes)]
+    fixed = df.sparkSession.createDataFrame(known, kind)
+    wide = df.agg(F.count("*").alias("rows"), *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(df.columns)])
+    entries = [F.struct(F.lit("rows").alias("metric"), F.lit("").alias("column"), F.col("rows").cast("string").alias("value"))]
+    entries += [F.struct(F.lit("missing").alias("metric"), F.lit(c).alias("column"), F.col(f"n{i}").cast("string").alias("value"))
+                for i, c in enumerate(df.columns)]
     duplicates = duplicate_count(df).select(F.lit("duplicate_rows").alias("metric"), F.lit("").alias("column"), F.col("duplicate_rows").cast("string").alias("value"))
-    nulls = null_counts(df, df.columns).select(F.lit("missing").alias("metric"), "column", F.col("nulls").cast("string").alias("value"))
-    types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
-    kinds = nulls.select(F.lit("type").alias("metric"), "column", F.element_at(types, F.col("column")).alias("value"))
-    return rows.unionByName(columns).unionByName(duplicates).unionByName(nulls).unionByName(kinds)
+    return wide.select(F.inline(F.array(*entries))).unionByName(fixed).unionByName(duplicates)
 
 
 def class_distribution(df: DataFrame, column: str = ACTION) -> DataFrame:
     """Rows and share of each class, largest first."""
     counts = df.groupBy(F.col(column).alias("class")).agg(F.count("*").alias("count"))
-    total = df.agg(F.count("*").alias("_total"))
-    return (
-        with_totals(counts, total)
-        .select("class", "count", (F.col("count") / F.col("_total") * 100.0).alias("percentage"))
-        .orderBy(F.desc("count"), "class")
-    )
+    total = F.sum("count").over(Window.partitionBy())  # one row per class
+    return counts.select("class", "count", (F.col("count") / total * 100.0).alias("percentage")).orderBy(F.desc("count"), "class")
 
 
 def moments(df: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
@@ -155,8 +158,7 @@ def spearman_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | N
     spark = df.sparkSession
     complete = df.select(*[finite(c).alias(c) for c in columns]).na.drop()
     path = fresh_path(spark, "ranks")
-    ranges = 1 if df.count() <= FEW_ROWS else None
-    running_counts(value_counts(complete, columns), ranges=ranges).select(
+    running_counts(value_counts(complete, columns), range_count(complete, columns)).select(
         "feature", "value", "n", "total", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank")
     ).write.partitionBy("feature").parquet(path)  # one folder per column name
     ranks = spark.read.schema("feature string, value double, n bigint, total bigint, rank double").parquet(path)

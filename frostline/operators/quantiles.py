@@ -5,26 +5,16 @@ all rows becomes one row before the shuffle. The distinct values are cut into ra
 similar size and running counts are taken inside each range; no task holds a whole column.
 """
 
-import math
+from pyspark.sql import DataFrame, Window, functions as F
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+#: Distinct values that one task sorts; the number of ranges follows from it and the distinct count.
+RANGE_VALUES = 2_000_000
 
-from frostline.operators.small import rows_if_small
 
-# Ranges of distinct values per column, between these bounds and following the shuffle width.
-FEWEST_RANGES, MOST_RANGES = 8, 512
-
-# Up to this many rows a group's distinct values fit in a task's memory.
-FEW_ROWS = 1_000_000
-# Above this many rows a sketch brackets the wanted ranks first; its rank error is 1 / ACCURACY.
-NARROW_ROWS = 20_000_000
-ACCURACY = 10_000
-MARGIN = 3.0 / ACCURACY
-GROUP_LIMIT = 10_000
-
-
-def range_count(spark: SparkSession) -> int:
-    return max(FEWEST_RANGES, min(MOST_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")) // 8))
+def range_count(df: DataFrame, columns: list[str]) -> int:
+    """Ranges for the column with the most distinct values, from one sketch of all columns."""
+    most = df.select(F.greatest(F.lit(0), *[F.approx_count_distinct(F.col(c).cast("double")) for c in columns])).first()[0]
+    return max(1, -(-most // RANGE_VALUES))
 
 
 def _long(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
@@ -38,21 +28,12 @@ def value_counts(df: DataFrame, columns: list[str], by: list[str] | None = None)
     return _long(df, columns, by).groupBy(*by, "feature", "value").agg(F.count("*").alias("n"))
 
 
-def running_counts(counts: DataFrame, by: list[str] | None = None, ranges: int | None = None) -> DataFrame:
-    """Add `before` (rows with a smaller value in the group) and `total`.
-
-    One range puts a group's distinct values into one task; that is only for tables known to be small.
-    """
+def running_counts(counts: DataFrame, ranges: int, by: list[str] | None = None) -> DataFrame:
+    """Add `before` (rows with a smaller value in the group) and `total`."""
     keys = [*(by or []), "feature"]
-    ranges = ranges or range_count(counts.sparkSession)
-    if ranges == 1:
-        group = Window.partitionBy(*keys)
-        earlier = group.orderBy("value").rowsBetween(Window.unboundedPreceding, -1)
-        return counts.withColumns({
-            "before": F.coalesce(F.sum("n").over(earlier), F.lit(0)), "total": F.sum("n").over(group)})
-    steps = [i / ranges for i in range(1, ranges)]
+    steps = [i / ranges for i in range(1, ranges)] or [0.5]
     # one row per feature name: bounded by the column list
-    edges = counts.where("n > 0").groupBy("feature").agg(F.percentile_approx("value", steps, 20 * ranges).alias("edges"))
+    edges = counts.groupBy("feature").agg(F.percentile_approx("value", steps, 20 * ranges).alias("edges"))
     ranged = (
         counts.join(F.broadcast(edges), "feature")
         .withColumn("range", F.size(F.filter("edges", lambda e: e < F.col("value"))))
@@ -73,9 +54,9 @@ def running_counts(counts: DataFrame, by: list[str] | None = None, ranges: int |
     )
 
 
-def _located(counts: DataFrame, probs: list[float], by: list[str] | None) -> DataFrame:
+def _located(counts: DataFrame, probs: list[float], by: list[str] | None, ranges: int) -> DataFrame:
     """The two neighbouring values `lo0, hi0, ...` of each quantile, and the rows per group."""
-    rows = running_counts(counts, by)
+    rows = running_counts(counts, ranges, by)
     first, last = F.col("before"), F.col("before") + F.col("n") - 1
     ends = []
     for i, p in enumerate(probs):
@@ -90,83 +71,23 @@ def _interpolated(located: DataFrame, probs: list[float], keys: list[str]) -> Da
     for i, p in enumerate(probs):
         place = (F.col("total") - 1) * F.lit(float(p))
         lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        outputs.append((lo + (hi - lo) * (place - F.floor(place))).alias(f"q{i}"))
+        between = lo + (hi - lo) * (place - F.floor(place))
+        outputs.append(F.when(lo == hi, lo).otherwise(between).alias(f"q{i}"))  # equal infinities have no difference
     return located.select(*keys, *outputs)
 
 
-def _brackets(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> dict[str, list[tuple]] | None:
-    """Disjoint value intervals of each column that hold every wanted rank of every group, from one sketch.
-
-    None when there are too many groups to bring the intervals to the driver.
-    """
-    ends = [min(1.0, max(0.0, p + side * MARGIN)) for p in probs for side in (-1, 1)]
-    sketch = _long(df, columns, by).groupBy(*by, "feature").agg(F.percentile_approx("value", ends, ACCURACY).alias("ends"))
-    rows = rows_if_small(sketch, GROUP_LIMIT)
-    if rows is None:
-        return None
-    found: dict[str, list[tuple]] = {}
-    for feature in {r["feature"] for r in rows}:
-        merged: list[tuple] = []
-        pairs = (pair for r in rows if r["feature"] == feature for pair in zip(r["ends"][::2], r["ends"][1::2]))
-        for lo, hi in sorted(pairs):
-            if merged and lo <= merged[-1][1]:
-                merged[-1] = (merged[-1][0], max(hi, merged[-1][1]))
-            else:
-                merged.append((lo, hi))
-        found[feature] = merged
-    return found
-
-
-def _coarse(column: str, intervals: list[tuple]) -> Column:
-    """The value inside the intervals; one stand-in per gap outside, which keeps the order and the counts."""
-    value = F.col(column).cast("double")
-    kept = F.when(value.isNull() | F.isnan(value), F.lit(None).cast("double"))
-    for lo, hi in intervals:
-        kept = kept.when(value < F.lit(lo), F.lit(math.nextafter(lo, -math.inf))).when(value <= F.lit(hi), value)
-    return kept.otherwise(F.lit(math.nextafter(intervals[-1][1], math.inf)))
-
-
-def _narrowed(df: DataFrame, columns: list[str], probs: list[float], by: list[str]) -> DataFrame | None:
-    """Exact quantiles of a large table: only values near the wanted ranks are counted one by one.
-
-    None when a wanted rank is not inside its interval, or there are too many groups.
-    """
-    intervals = _brackets(df, columns, probs, by)
-    if not intervals:
-        return None
-    present = [c for c in columns if c in intervals]
-    coarse = df.select(*by, *[_coarse(c, intervals[c]).alias(c) for c in present])
-    located = _located(value_counts(coarse, present, by), probs, by)
-    rows = located.collect()  # as many rows as the sketch had
-    for r in rows:
-        for i in range(len(probs)):
-            if not all(any(lo <= r[f"{side}{i}"] <= hi for lo, hi in intervals[r["feature"]]) for side in ("lo", "hi")):
-                return None
-    return _interpolated(df.sparkSession.createDataFrame(rows, located.schema), probs, [*by, "feature"])
-
-
 def quantiles(df: DataFrame, columns: list[str], probs: list[float], by: list[str] | None = None,
               accuracy: int | None = None) -> DataFrame:
     """Linear-interpolated exact quantiles `q0..` of each column, per group.
 
-    Up to `FEW_ROWS` rows, Spark's own `percentile` holds a group in memory. A larger table is cut into
-    ranges, and above `NARROW_ROWS` rows it is first bracketed by a sketch, so that columns whose
-    values hardly ever repeat are not shuffled whole. With `accuracy` the sketch itself is the
-    answer (rank error 1 / accuracy).
+    One way for every size: distinct values are counted, cut into ranges and summed up range by
+    range. With `accuracy` a sketch is the answer (rank error 1 / accuracy).
     """
     by = by or []
     keys = [*by, "feature"]
 
-    def listed(marks: DataFrame) -> DataFrame:
-        return marks.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
-
     if accuracy is not None:
-        return listed(_long(df, columns, by).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q")))
-    rows = df.count()
-    if rows <= FEW_ROWS:
-        return listed(_long(df, columns, by).groupBy(*keys).agg(F.percentile("value", F.lit(probs)).alias("q")))
-    if rows > NARROW_ROWS:
-        narrowed = _narrowed(df, columns, probs, by)
-        if narrowed is not None:
-            return narrowed
-    return _interpolated(_located(value_counts(df, columns, by), probs, by), probs, keys)
+        sketch = _long(df, columns, by).groupBy(*keys).agg(F.percentile_approx("value", probs, accuracy).alias("q"))
+        return sketch.select(*keys, *[F.col("q")[i].alias(f"q{i}") for i in range(len(probs))])
+    located = _located(value_counts(df, columns, by), probs, by, range_count(df, columns))
+    return _interpolated(located, probs, keys)

@@ -12,9 +12,10 @@ def _pairs(rows):
     return {(r["feature_1"], r["feature_2"]): r["correlation"] for r in rows.collect()}
 
 
-@pytest.mark.parametrize("partitions,width,few", [(1, "8", 10**6), (1, "8", 0), (8, "400", 0)])
-def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, few):
-    monkeypatch.setattr(quantiles, "FEW_ROWS", few)
+@pytest.mark.parametrize("partitions,width,each", [(1, "8", 2_000_000), (1, "8", 100), (8, "400", 7)])
+def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, each):
+    """The same with one range of distinct values and with hundreds."""
+    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
     values = np.concatenate([np.full(3000, 7.25), np.random.default_rng(1).normal(size=3001), [1e9, -1e9]])
     rows = spark.createDataFrame([(float(v), None if v > 2 else float(v)) for v in values], "a double, b double")
     rows = rows.unionByName(spark.createDataFrame([(float("nan"), float("nan"))], "a double, b double")).repartition(partitions)
@@ -29,12 +30,9 @@ def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, few):
     np.testing.assert_allclose(found["b"], np.quantile(values[values <= 2], probs), rtol=1e-12)
 
 
-@pytest.mark.parametrize("margin", [3e-4, 0.05, -1e-9])
-def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, margin):
-    """Through the sketch; with a margin too small for this table the full count must take over."""
-    monkeypatch.setattr(quantiles, "FEW_ROWS", 10)
-    monkeypatch.setattr(quantiles, "NARROW_ROWS", 100)
-    monkeypatch.setattr(quantiles, "MARGIN", margin)
+@pytest.mark.parametrize("each", [2_000_000, 50])
+def test_grouped_quantiles_equal_numpy(spark, monkeypatch, each):
+    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
     rng = np.random.default_rng(5)
     frame = [(("x", "y")[i % 2], float(v), float(round(v, 1)) if i % 5 else None) for i, v in enumerate(rng.normal(size=20_001))]
     rows = spark.createDataFrame(frame, "g string, a double, b double")
@@ -47,6 +45,18 @@ def test_bracketed_quantiles_equal_numpy(spark, monkeypatch, margin):
         np.testing.assert_allclose(found[(g, "b")], np.quantile(b, probs), rtol=1e-12)
 
 
+@pytest.mark.parametrize("each", [2_000_000, 2])
+def test_quantiles_of_infinities(spark, monkeypatch, each):
+    """Missing values are left out; between equal infinities lies the same infinity."""
+    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
+    inf = float("inf")
+    values = [-inf, -inf, -inf, 1.0, 2.0, 3.0, inf, inf, inf, inf, inf]
+    rows = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "a double")
+    probs = [0.0, 0.1, 0.3, 0.4, 0.75, 1.0]
+    found = quantiles.quantiles(rows, ["a"], probs).first()
+    assert [found[f"q{i}"] for i in range(6)] == [-inf, -inf, 1.0, 2.0, inf, inf]
+
+
 def test_quantiles_edge_inputs(spark):
     assert quantiles.quantiles(spark.createDataFrame([], "a double"), ["a"], [0.5]).count() == 0
     one = quantiles.quantiles(spark.createDataFrame([(3.0,)], "a double"), ["a"], [0.0, 0.5, 1.0]).first()
@@ -65,9 +75,9 @@ def test_describe_empty_table(readings):
     assert len(rows) == len(NUMERIC) and all(r["count"] == 0 and r["mean"] is None for r in rows)
 
 
-@pytest.mark.parametrize("few", [10**6, 0])
-def test_correlations_equal_pandas(readings, monkeypatch, few):
-    monkeypatch.setattr(profiling, "FEW_ROWS", few)
+@pytest.mark.parametrize("each", [2_000_000, 50])
+def test_correlations_equal_pandas(readings, monkeypatch, each):
+    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
     frame = readings.select(NUMERIC).toPandas()
     for build, method in ((profiling.pearson_matrix, "pearson"), (profiling.spearman_matrix, "spearman")):
         expected = frame.corr(method=method)
