@@ -110,11 +110,14 @@ def scan(docs: DataFrame, text: str = "text", out: str = "licenses", phrases: di
         F.array_join(F.array_sort(F.collect_set(F.when(F.col("phrase"), F.col("label")))), ",").alias("base_labels"),
         F.array_join(F.array_sort(F.collect_set("label")), ",").alias("labels"), F.max("share").alias("score"),
         F.array_sort(F.collect_list(F.struct("start", "end", "label", "template", "share"))).alias("spans"))
+    found = found.select("_key", F.struct(*found.columns[1:]).alias("_found"))
     joined = keyed.withColumn("_n", F.size(native_words(F.col(text))).cast("bigint")).join(found, "_key", "left")
+    one = F.col("_found")
     answer = F.struct(
-        F.col("_n").alias("n_words"), F.coalesce("n_base", F.lit(0)).cast("bigint").alias("n_base"), "first_word", "last_word",
-        F.coalesce("base_labels", F.lit("")).alias("base_labels"), F.coalesce("labels", F.lit("")).alias("labels"),
-        F.coalesce("score", F.lit(0.0)).alias("score"), "spans")
+        F.col("_n").alias("n_words"), F.coalesce(one["n_base"], F.lit(0)).cast("bigint").alias("n_base"),
+        one["first_word"].alias("first_word"), one["last_word"].alias("last_word"),
+        F.coalesce(one["base_labels"], F.lit("")).alias("base_labels"), F.coalesce(one["labels"], F.lit("")).alias("labels"),
+        F.coalesce(one["score"], F.lit(0.0)).alias("score"), one["spans"].alias("spans"))
     return joined.select(*[F.col(c) for c in docs.drop(out).columns], answer.alias(out))
 
 
