@@ -1,11 +1,14 @@
 """Exact splits and samples in hash order, without sorting the table.
 
-Rows are ordered by (md5 of key and seed, key). A split point is found from a histogram
-of hash prefixes: only the one prefix that holds the point is ranked, then every row is
-labelled by comparing with the point. That is one aggregate, one filtered scan and one
-projection; the whole table is never shuffled, however skewed the classes are.
+Rows are ordered by md5 of key and seed, and rows of one key by a hash of their columns. A
+split point is found from a histogram of hash prefixes: only the one prefix that holds the
+point is ranked, then every row is labelled by comparing with the point. That is one
+aggregate, one filtered scan and one projection; the whole table is never shuffled, however
+skewed the classes or keys are. A missing key is a key. Rows that are equal in all columns
+are told apart by number where a point falls among them.
 """
 
+import math
 from collections.abc import Mapping
 from dataclasses import dataclass
 
@@ -21,6 +24,7 @@ PREFIX_DIGITS = 3
 RANKED_ROWS = 2_000_000
 STRATA_LIMIT = 1_000
 _ORDER = "order"
+_DIGITS = 48  # of md5 and of the row's hash
 
 
 def _stratum(by: str | None) -> Column:
@@ -28,12 +32,14 @@ def _stratum(by: str | None) -> Column:
     return F.coalesce(F.col(by).cast("string"), F.lit("\u0000null")) if by else F.lit("all")
 
 
-def _hashed(df: DataFrame, key: str, seed: int, by: str | None) -> DataFrame:
-    return df.select(
-        _stratum(by).alias("stratum"),
-        F.col(key).cast("string").alias("key"),
-        digest(key, seed, _ORDER).alias("h"),
-    )
+def _place(key: str, seed: int, columns: list[str]) -> Column:
+    """Hex digits that order rows: md5 of the key, then 64 bits of the columns."""
+    values = [x for c in columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return F.concat(digest(key, seed, _ORDER), F.lpad(F.hex(F.xxhash64(*values)), 16, "0"))
+
+
+def _hashed(df: DataFrame, key: str, seed: int, by: str | None, columns: list[str]) -> DataFrame:
+    return df.select(_stratum(by).alias("stratum"), _place(key, seed, columns).alias("h"))
 
 
 def _running(counts: DataFrame, group: list[str]) -> DataFrame:
@@ -49,14 +55,14 @@ def _prefix_counts(hashed: DataFrame, digits: int) -> DataFrame:
     return _running(counts, ["stratum"])
 
 
-def _cut_points(df: DataFrame, key: str, seed: int, by: str | None, ranks) -> list | None:
-    """For each stratum and wanted rank, the (hash, key) of the row at that rank.
+def _cut_points(df: DataFrame, key: str, seed: int, by: str | None, ranks, columns: list[str]) -> list | None:
+    """For each stratum and wanted rank, the hash of the row at that rank; how many rows have it, and how many to take.
 
     `ranks(total)` lists the wanted 1-based ranks as columns; None when there are too many strata.
     A prefix that holds a wanted rank but too many rows is divided again by its next digits.
     """
     spark = df.sparkSession
-    hashed = _hashed(df, key, seed, by)
+    hashed = _hashed(df, key, seed, by, columns)
     prefixes = _prefix_counts(hashed, PREFIX_DIGITS)
     before = F.col("upto") - F.col("n")
     wanted = ranks(F.col("total"))
@@ -80,10 +86,13 @@ def _cut_points(df: DataFrame, key: str, seed: int, by: str | None, ranks) -> li
             hashed.withColumn("prefix", F.substring("h", 1, digits))
             .join(cuts.drop("n"), ["stratum", "prefix"])
         )
-        if max(r["n"] for r in held) <= RANKED_ROWS or digits >= 30:
-            place = F.row_number().over(Window.partitionBy("stratum", "no").orderBy("h", "key"))
-            at_rank = near.withColumn("place", place).where("place = rank")
-            return at_rank.select("stratum", "no", "h", "key").collect()  # one row per cut
+        if max(r["n"] for r in held) <= RANKED_ROWS or digits >= _DIGITS:
+            # one row per hash before it is ranked, so equal rows are one
+            alike = near.groupBy("stratum", "no", "rank", "h").agg(F.count("*").alias("ties"))
+            before = Window.partitionBy("stratum", "no").orderBy("h").rowsBetween(Window.unboundedPreceding, -1)
+            taken = alike.withColumn("take", F.col("rank") - F.coalesce(F.sum("ties").over(before), F.lit(0)))
+            at_rank = taken.where("take > 0 AND take <= ties")
+            return at_rank.select("stratum", "no", "h", "ties", "take").collect()  # one row per cut
         digits += PREFIX_DIGITS
         finer = (
             near.groupBy("stratum", "no", "rank", F.substring("h", 1, digits).alias("prefix"))
@@ -95,22 +104,38 @@ def _cut_points(df: DataFrame, key: str, seed: int, by: str | None, ranks) -> li
         )
 
 
-def _at_or_before(h: Column, key: Column, point_h: Column, point_key: Column) -> Column:
-    return (h < point_h) | ((h == point_h) & (key <= point_key))
+def _numbered_ties(tagged: DataFrame, points: list[str]) -> DataFrame:
+    """Add `_n`: the number of a row among its equals where `_h` is one of `points`, else 1."""
+    if not points:
+        return tagged.withColumn("_n", F.lit(1))
+    equals = Window.partitionBy("_s", "_h").orderBy("_h")
+    at = F.col("_h").isin(points)
+    return tagged.where(at).withColumn("_n", F.row_number().over(equals)).unionByName(tagged.where(~at).withColumn("_n", F.lit(1)))
+
+
+def _up_to(h: Column, take: Column) -> Column:
+    """At or before a point; of rows equal to it the first `take`."""
+    return (F.col("_h") < h) | ((F.col("_h") == h) & (F.col("_n") <= take))
+
+
+def prefix_digits(rows: int) -> int:
+    """Hex digits after which a prefix has about `RANKED_ROWS` / 16 rows or fewer, two at least."""
+    return max(2, math.ceil(math.log(max(rows, 1) * 16 / RANKED_ROWS, 16)))
 
 
 def number_rows(df: DataFrame, key: str = ID, seed: int = 42, by: str | None = None,
-                digits: int = PREFIX_DIGITS, output: str = "row_no") -> DataFrame:
+                digits: int | None = None, output: str = "row_no") -> DataFrame:
     """Exact 0-based position in hash order (per `by`), ranked inside small hash prefixes.
 
-    The rank window and the join with the prefix offsets use the same partitioning, so
+    The length of the prefixes follows the number of rows. The rank window and the join with the prefix offsets use the same partitioning, so
     the rows are shuffled once and no task holds more than one prefix at a time.
     """
-    tagged = df.withColumns({"_s": _stratum(by), "_h": digest(key, seed, _ORDER)}) \
+    digits = digits or prefix_digits(df.count())
+    tagged = df.withColumns({"_s": _stratum(by), "_h": _place(key, seed, df.columns)}) \
                .withColumn("_p", F.substring("_h", 1, digits))
-    in_prefix = Window.partitionBy("_s", "_p").orderBy("_h", F.col(key).cast("string"))
+    in_prefix = Window.partitionBy("_s", "_p").orderBy("_h")
     placed = tagged.withColumn("_place", F.row_number().over(in_prefix))
-    offsets = _prefix_counts(_hashed(df, key, seed, by), digits).select(
+    offsets = _prefix_counts(_hashed(df, key, seed, by, df.columns), digits).select(
         F.col("stratum").alias("_s"), F.col("prefix").alias("_p"),
         (F.col("upto") - F.col("n")).alias("_before"), F.col("total").alias("_total"))
     return (
@@ -136,9 +161,9 @@ def _quota(total: Column, share: float) -> Column:
 
 @dataclass(frozen=True)
 class SplitRule:
-    """A fitted split: names in order, and per stratum the last (hash, key) of each split but the last.
+    """A fitted split: names in order, and per stratum the last hash of each split but the last and the rows to take of it.
 
-    `limits` is None when there are more strata than `STRATA_LIMIT`; rows are then ranked instead.
+    `columns` went into the hash; `partial` lists hashes of equal rows that a limit divides. `limits` is None when there are more strata than `STRATA_LIMIT`; rows are then ranked instead.
     """
 
     by: str
@@ -146,20 +171,25 @@ class SplitRule:
     cumulative: list[float]
     seed: int
     key: str
+    columns: list[str]
     limits: list[list] | None
+    partial: list[str]
 
 
-def fit_split(df: DataFrame, by: str, fractions: Mapping[str, float], seed: int = 42, key: str = ID) -> SplitRule:
-    names, cumulative = list(fractions), _cumulative(fractions)
-    points = _cut_points(df, key, seed, by, lambda total: [_quota(total, share) for share in cumulative])
+def fit_split(df: DataFrame, by: str, fractions: Mapping[str, float], seed: int = 42, key: str = ID,
+              columns: list[str] | None = None) -> SplitRule:
+    """`columns` tell rows of one key apart; all of them unless given."""
+    names, cumulative, columns = list(fractions), _cumulative(fractions), columns or df.columns
+    points = _cut_points(df, key, seed, by, lambda total: [_quota(total, share) for share in cumulative], columns)
     limits = None
     if points is not None:
         by_stratum: dict[str, dict[int, tuple]] = {}
         for p in points:
-            by_stratum.setdefault(p["stratum"], {})[p["no"]] = (p["h"], p["key"])
+            by_stratum.setdefault(p["stratum"], {})[p["no"]] = (p["h"], p["take"])
         limits = [[s, *[part for no in range(len(cumulative)) for part in found.get(no, (None, None))]]
                   for s, found in by_stratum.items()]
-    return SplitRule(by, names, cumulative, seed, key, limits)
+    partial = sorted({p["h"] for p in points or [] if p["take"] < p["ties"]})
+    return SplitRule(by, names, cumulative, seed, key, columns, limits, partial)
 
 
 def apply_split(df: DataFrame, rule: SplitRule, output: str = "split") -> DataFrame:
@@ -169,16 +199,15 @@ def apply_split(df: DataFrame, rule: SplitRule, output: str = "split") -> DataFr
         passed = edges_below_columns(F.col("_no") + 1, [_quota(F.col("_no_of"), share) for share in rule.cumulative])
         return ranked.withColumn(output, F.get(F.lit(rule.names), passed)).drop("_no", "_no_of")
     cuts = range(len(rule.cumulative))
-    columns = ", ".join(["_s string", *[f"_h{no} string, _k{no} string" for no in cuts]])
+    columns = ", ".join(["_s string", *[f"_h{no} string, _k{no} bigint" for no in cuts]])
     limits = df.sparkSession.createDataFrame(rule.limits, columns)  # at most STRATA_LIMIT rows
     label = F
     for no in cuts:  # a quota of 0 has no point: the comparison is null and the next split is tried
-        inside = _at_or_before(F.col("_h"), F.col(rule.key).cast("string"), F.col(f"_h{no}"), F.col(f"_k{no}"))
-        label = label.when(inside, F.lit(rule.names[no]))
+        label = label.when(_up_to(F.col(f"_h{no}"), F.col(f"_k{no}")), F.lit(rule.names[no]))
     label = F.lit(rule.names[-1]) if label is F else label.otherwise(F.lit(rule.names[-1]))
-    tagged = df.withColumns({"_s": _stratum(rule.by), "_h": digest(rule.key, rule.seed, _ORDER)})
-    joined = tagged.join(F.broadcast(limits), "_s", "left").withColumn(output, label)
-    return joined.drop("_s", "_h", *[f"_{part}{no}" for part in "hk" for no in cuts])
+    tagged = df.withColumns({"_s": _stratum(rule.by), "_h": _place(rule.key, rule.seed, rule.columns)})
+    joined = _numbered_ties(tagged, rule.partial).join(F.broadcast(limits), "_s", "left").withColumn(output, label)
+    return joined.drop("_s", "_h", "_n", *[f"_{part}{no}" for part in "hk" for no in cuts])
 
 
 def edges_below_columns(value: Column, edges: list[Column]) -> Column:
@@ -199,12 +228,13 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = ID) -> DataFrame:
     """Exactly n rows without replacement; an error when there are fewer."""
     if n <= 0:
         return df.limit(0)
-    points = _cut_points(df, key, seed, None, lambda total: [F.lit(n).cast("bigint")])
+    points = _cut_points(df, key, seed, None, lambda total: [F.lit(n).cast("bigint")], df.columns)
     if not points:
-        raise ValueError(f"Need at least {n} rows to sample.")
+        raise ValueError(f"The table has fewer rows than the {n} to draw.")
     point = points[0]
-    inside = _at_or_before(F.col("_h"), F.col(key).cast("string"), F.lit(point["h"]), F.lit(point["key"]))
-    return df.withColumn("_h", digest(key, seed, _ORDER)).where(inside).drop("_h")
+    tagged = df.withColumns({"_s": F.lit("all"), "_h": _place(key, seed, df.columns)})
+    numbered = _numbered_ties(tagged, [point["h"]] if point["take"] < point["ties"] else [])
+    return numbered.where(_up_to(F.lit(point["h"]), F.lit(point["take"]))).drop("_s", "_h", "_n")
 
 
 def draw_indices(spark: SparkSession, n: int, total: DataFrame, seed: int, stream: str) -> DataFrame:
@@ -215,7 +245,7 @@ def draw_indices(spark: SparkSession, n: int, total: DataFrame, seed: int, strea
 
 
 def sample_with_replacement(seeds: DataFrame, n: int, seed: int = 42, key: str = ID,
-                            stream: str = "pick", digits: int = PREFIX_DIGITS) -> DataFrame:
+                            stream: str = "pick", digits: int | None = None) -> DataFrame:
     """n draws of seed rows, numbered by `draw_id`.
 
     Picks are uniform, so the join key is spread evenly; Spark chooses the join by size.
@@ -235,7 +265,7 @@ def fit_strata(df: DataFrame, column: str, q: int = 10) -> list[float]:
     probs = [i / q for i in range(q + 1)]
     row = quantiles(df, [column], probs).first()
     if row is None:
-        raise ValueError("Not enough target variation to create a stratified split.")
+        raise ValueError("The target has too few distinct values for strata of two rows or more.")
     return sorted({row[f"q{i}"] for i in range(q + 1)})
 
 
@@ -248,7 +278,7 @@ def stratum_of(column: str, edges: list[float]) -> Column:
 def _require_strata(marked: DataFrame, edges: list[float], output: str) -> None:
     sizes = marked.groupBy(output).agg(F.count("*").alias("n")).collect()  # at most q + 1 rows
     if len(edges) < 2 or min(r["n"] for r in sizes) < 2:
-        raise ValueError("Not enough target variation to create a stratified split.")
+        raise ValueError("The target has too few distinct values for strata of two rows or more.")
 
 
 def quantile_strata(df: DataFrame, column: str, q: int = 10, output: str = "stratum") -> DataFrame:
@@ -271,13 +301,13 @@ def regression_split(df: DataFrame, target: str, test: float = 0.15, validation:
         outer_edges = fit_strata(slim, target, q)
         marked = slim.withColumn("_stratum", stratum_of(target, outer_edges))
         _require_strata(marked, outer_edges, "_stratum")
-        outer = fit_split(marked, "_stratum", {"rest": 1.0 - test, "test": test}, seed, key)
+        outer = fit_split(marked, "_stratum", {"rest": 1.0 - test, "test": test}, seed, key, [key, target])
         rest = apply_split(marked, outer, "_outer").where(F.col("_outer") == "rest").select(key, target).persist()
         try:
             inner_edges = fit_strata(rest, target, q)
             again = rest.withColumn("_stratum", stratum_of(target, inner_edges))
             _require_strata(again, inner_edges, "_stratum")
-            inner = fit_split(again, "_stratum", {"train": 1.0 - share, "validation": share}, seed + 1, key)
+            inner = fit_split(again, "_stratum", {"train": 1.0 - share, "validation": share}, seed + 1, key, [key, target])
         finally:
             rest.unpersist()
     finally:

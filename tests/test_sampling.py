@@ -99,3 +99,38 @@ def test_regression_split_is_a_partition(readings):
     sizes = {r["split"]: r["count"] for r in split.groupBy("split").count().collect()}
     assert split.select(ID).distinct().count() == readings.count() == sum(sizes.values())
     assert abs(sizes["test"] - 150) <= 10 and abs(sizes["validation"] - 150) <= 10
+
+
+def _repeating(spark, nulls):
+    """1,000 rows of 20 ids, a tenth of them missing if asked; every row of id 7 is the same."""
+    rows = [(None if nulls and i % 10 == 3 else f"c{i % 20}", float(0 if i % 20 == 7 else i), "ab"[i % 3 == 0]) for i in range(1000)]
+    return spark.createDataFrame(rows, "Container_ID string, risk double, kind string").repartition(5)
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_repeated_keys_split_exactly(spark, nulls):
+    rows = _repeating(spark, nulls)
+    for n in (1, 110, 500, 990, 1000):
+        assert sampling.sample_n(rows, n).count() == n
+    shares = {"x": 0.33, "y": 0.33, "z": 0.34}
+    marked = sampling.stratified_split(rows, "kind", shares).groupBy("kind", "split").count().collect()
+    total = {"a": 666, "b": 334}
+    for r in marked:
+        ends = [0, round(total[r.kind] * 0.33), round(total[r.kind] * 0.66), total[r.kind]]
+        place = "xyz".index(r["split"])
+        assert r["count"] == ends[place + 1] - ends[place]
+    numbered = sampling.number_rows(rows).collect()
+    assert sorted(r.row_no for r in numbered) == list(range(1000))
+    drawn = sampling.sample_with_replacement(rows, 400)
+    assert drawn.count() == 400 and drawn.select("draw_id").distinct().count() == 400
+
+
+def test_repeated_keys_split_alike_in_any_partitioning(spark):
+    rows = _repeating(spark, True)
+    key = lambda r: str(r)
+    first = sorted(sampling.sample_n(rows, 333).collect(), key=key)
+    assert first == sorted(sampling.sample_n(rows.repartition(3, "risk"), 333).collect(), key=key)
+
+
+def test_prefixes_follow_the_rows():
+    assert [sampling.prefix_digits(n) for n in (0, 10**6, 10**9, 10**12)] == [2, 2, 4, 6]
