@@ -124,6 +124,7 @@ def _validate_ranges(spark, sf_dir):
 QUERIES = {
     "read_telemetry": _read_telemetry,
     "require_columns": _require_columns,
+    "missing_columns": lambda s, d: ops.column_report(faulty(s, d).drop(SEAL), [*REQUIRED, "Door_Open"]),
     "require_not_null": _require_not_null,
     "write_table": _write_table,
     "write_report": _write_report,
@@ -154,6 +155,9 @@ def _bad(c, lo, hi):
 CHECKS = {
     "read_telemetry": views() + f" SELECT {_COLUMNS} FROM telemetry",
     "require_columns": views() + f" SELECT {CARGO}, count(*) AS readings FROM telemetry GROUP BY {CARGO}",
+    "missing_columns": views("faulty") + " " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", {c not in (SEAL, 'Door_Open')} AS present, "
+        f"{'count(' + c + ')' if c not in (SEAL, 'Door_Open') else 'CAST(0 * count(*) AS BIGINT)'} AS filled FROM faulty" for c in [*REQUIRED, "Door_Open"]),
     "require_not_null": views("faulty") + " " + _COUNT_NULLS,
     "write_table": views() + f", {_SPLIT} SELECT {_COLUMNS}, split FROM parts",
     "write_report": views() + f""", {_SPLIT},

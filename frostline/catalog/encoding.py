@@ -29,6 +29,7 @@ def _preprocess(spark, sf_dir):
 
 QUERIES = {
     "label_encode": lambda s, d: ops.label_encode(telemetry(s, d), CARGO).select(ID, CARGO, "code"),
+    "label_encode_many": lambda s, d: ops.label_encode(telemetry(s, d), ID).select(ID, "code"),
     "label_decode": _decode,
     "one_hot": _one_hot,
     "standard_scale": lambda s, d: ops.standard_scale(telemetry(s, d), NUMERIC).select(
@@ -40,6 +41,7 @@ _CODES = f"codes AS (SELECT {{c}} AS v, dense_rank() OVER (ORDER BY {{c}}) - 1 A
 _SCALED = "(({c}) - avg({c}) OVER ()) / stddev_pop({c}) OVER ()"
 
 CHECKS = {
+    "label_encode_many": views() + f" SELECT {ID}, dense_rank() OVER (ORDER BY {ID}) - 1 AS code FROM telemetry",
     "label_encode": views() + f", {_CODES.format(c=CARGO)} SELECT {ID}, {CARGO}, code FROM telemetry JOIN codes ON {CARGO} = v",
     "label_decode": views() + f", {_CODES.format(c=ACTION)} SELECT {ID}, code, {ACTION} AS label FROM telemetry JOIN codes ON {ACTION} = v",
     "one_hot": views() + f""" SELECT {ID}, CASE WHEN {CARGO} = 'Dairy' THEN 1 ELSE 0 END AS is_dairy,

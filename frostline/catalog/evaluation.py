@@ -162,7 +162,7 @@ CHECKS = {
         {r6('CASE ' + ' '.join(f"WHEN Predicted_Class = '{c}' THEN Probability_{c}" for c in CLASSES) + ' END')} AS Confidence,
         {', '.join(f'{r6(p)} AS {p}' for p in PROBABILITIES)} FROM pred""",
     "model_leaderboard": views("scored") + f", {_BOARD} SELECT * FROM board",
-    "best_model": views("scored") + f", {_BOARD} SELECT *, 'Highest weighted F1 Score.' AS reason FROM board WHERE Rank = 1",
+    "best_model": views("scored") + f", {_BOARD} SELECT *, 'Ranked first by weighted F1.' AS reason FROM board WHERE Rank = 1",
     "comparison_summary": views("scored") + f""", {_BOARD} SELECT Experiment, count(*) AS total_models, count(*) FILTER (WHERE Category = 'Baseline') AS baseline_models,
         count(*) FILTER (WHERE Category = 'Tuned') AS tuned_models, min_by(Model, Rank) AS best_model, min_by(F1_Score, Rank) AS best_f1_score FROM board GROUP BY 1""",
     "save_predictions": views("scored") + f", {_PREDICTED} SELECT {ID}, {ACTION}, Predicted_Class FROM pred",

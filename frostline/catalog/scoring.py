@@ -6,12 +6,12 @@ from pyspark.sql import functions as F
 
 from frostline.catalog.evaluation import THRESHOLD, action_sql
 from frostline.catalog.sql import CARGO, ID, SEAL, number, r6, views
-from frostline.fixtures import SCORED_SQL, events_to_telemetry, scored, telemetry
+from frostline.fixtures import FAULTY_SQL, SCORED_SQL, events_to_telemetry, scored, telemetry
 from frostline.functions.numeric import rounded
 from frostline.operators import scoring as ops
 from frostline.operators.training import fit_regressor, legacy_regressors
 from frostline.schema import CLASSES, EMERGENCY, INPUTS, PREDICTED_RISK, PROBABILITIES, RISK, SAFE, WARNING
-from frostline.streaming.scoring import score_stream
+from frostline.streaming.scoring import quarantine_stream, score_stream
 from frostline.workspace import fresh_path
 
 _NAMES = {EMERGENCY: "p_emergency", SAFE: "p_safe", WARNING: "p_warning"}
@@ -56,14 +56,45 @@ def _score_with_models(spark, sf_dir):
     return _flat(ops.score_shipments(rows.drop(RISK), THRESHOLD, risk, action))
 
 
-def _score_stream(spark, sf_dir):
-    """The events as a file stream, scored into a table that is read back."""
+def _events_stream(spark, sf_dir):
+    """The events as a file stream."""
     path = f"{sf_dir}/events.parquet"
     schema = spark.read.parquet(path).schema
     reader = spark.readStream.schema(schema)
     one_file = os.path.isfile(path)
     stream = reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir) if one_file else reader.parquet(path)
-    readings = spark.sql(SCORED_SQL, telemetry=events_to_telemetry(spark, stream))
+    return events_to_telemetry(spark, stream)
+
+
+def _faulty_scored(spark, readings):
+    """Readings with gaps and values out of range, with predictions as far as they can be made."""
+    return spark.sql(SCORED_SQL, telemetry=spark.sql(FAULTY_SQL, telemetry=readings))
+
+
+def _decided_or_held(scored_rows, held):
+    """Every row once: its action, or what is wrong with it."""
+    decided = scored_rows.select(ID, "predicted_action", F.lit("").alias("violations"))
+    return decided.unionByName(held.select(ID, F.lit(None).cast("string").alias("predicted_action"), F.array_join("violations", ",").alias("violations")))
+
+
+def _score_or_quarantine(spark, sf_dir):
+    return _decided_or_held(*ops.score_or_quarantine(_faulty_scored(spark, telemetry(spark, sf_dir)), THRESHOLD))
+
+
+def _stream_or_quarantine(spark, sf_dir):
+    """The same from a stream with two sinks, read back."""
+    sinks = fresh_path(spark, "faulty_scored"), fresh_path(spark, "faulty_held")
+    stream = _faulty_scored(spark, _events_stream(spark, sf_dir))
+    queries = [score_stream(stream, THRESHOLD, sinks[0], fresh_path(spark, "progress")),
+               quarantine_stream(stream, sinks[1], fresh_path(spark, "progress"))]
+    for query in queries:
+        query.awaitTermination()
+    return _decided_or_held(*[spark.read.parquet(sink) for sink in sinks])
+
+
+def _score_stream(spark, sf_dir):
+    """The events as a file stream, scored into a table that is read back."""
+    readings = spark.sql(SCORED_SQL, telemetry=_events_stream(spark, sf_dir))
     sink = fresh_path(spark, "scored_stream")
     score_stream(readings, THRESHOLD, sink, fresh_path(spark, "scored_stream_progress")).awaitTermination()
     return _flat(spark.read.parquet(sink))
@@ -88,6 +119,8 @@ QUERIES = {
     "score_shipments": lambda s, d: _flat(ops.score_shipments(scored(s, d), THRESHOLD)),
     "score_shipments_with_models": _score_with_models,
     "score_stream": _score_stream,
+    "score_or_quarantine": _score_or_quarantine,
+    "stream_or_quarantine": _stream_or_quarantine,
     "cargo_actions": entry,
 }
 
@@ -106,7 +139,19 @@ _SCORE = views("scored") + f""", {_VALID}, acted AS (SELECT *, {_ACTION} AS a FR
     {', '.join(f'{_P[c]} AS {n}' for c, n in _NAMES.items())}, {_LEVEL} AS risk_level, {_ADVICE} AS advice,
     {number(THRESHOLD)} AS warning_threshold FROM acted"""
 
+def _broken(c, lo, hi):
+    test = f"{c} IS NULL OR {c} < {lo}" + (f" OR {c} > {hi}" if hi else "")
+    return f"CASE WHEN {test} THEN '{c}' END"
+
+
+_HELD = views("faulty") + f""", marked AS ({SCORED_SQL.format(telemetry="faulty")}), named AS (SELECT *, concat_ws(',',
+    {_broken('Ambient_External_Temp_C', '-40', '70')}, {_broken('Internal_Set_Point_C', '-40', '20')}, {_broken('Actual_Internal_Temp_C', '-40', '70')},
+    {_broken('HVAC_Power_Consumption_Watts', '0', None)}, {_broken('Seal_Integrity_Index', '0', '1')}) AS violations FROM marked)
+    SELECT {ID}, CASE WHEN violations = '' THEN {_ACTION} END AS predicted_action, violations FROM named"""
+
 CHECKS = {
+    "score_or_quarantine": _HELD,
+    "stream_or_quarantine": _HELD,
     "class_probabilities": views("scored") + f" SELECT {ID}, {', '.join(f'{_P[c]} AS {n}' for c, n in _NAMES.items())} FROM scored",
     "confidence": views("scored") + f" SELECT {ID}, {_CONFIDENCE} AS confidence FROM scored",
     "apply_warning_threshold": views("scored") + f" SELECT {ID}, CASE WHEN {PROBABILITIES[2]} >= {number(THRESHOLD)} THEN '{WARNING}' ELSE '{SAFE}' END AS action FROM scored",

@@ -13,11 +13,20 @@ def missing_columns(df: DataFrame, columns: list[str]) -> list[str]:
     return sorted(set(columns) - set(df.columns))
 
 
+def column_report(df: DataFrame, columns: list[str]) -> DataFrame:
+    """For each wanted column whether the table has it, and its rows with a value; one scan."""
+    absent = set(missing_columns(df, columns))
+    kind = "column string, present boolean, filled bigint"
+    entries = F.array(*[F.struct(F.lit(c).alias("column"), F.lit(c not in absent).alias("present"),
+                                 (F.lit(0) if c in absent else F.count(F.col(f"`{c}`"))).cast("bigint").alias("filled")) for c in columns])
+    return df.agg(entries.alias("e")).select(F.inline("e")) if columns else df.sparkSession.createDataFrame([], kind)
+
+
 def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
     """The frame itself, or an error naming the missing columns; starts no job."""
     missing = missing_columns(df, columns)
     if missing:
-        raise ValueError(f"Missing required columns: {missing}")
+        raise ValueError(f"The table lacks the columns {missing}.")
     return df
 
 
@@ -40,7 +49,7 @@ def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
 def require_not_null(df: DataFrame, column: str) -> DataFrame:
     """The frame itself, or an error when the column has a null (stops at the first one found)."""
     if df.select(column).where(F.col(column).isNull()).limit(1).collect():
-        raise ValueError(f"{column} contains missing values.")
+        raise ValueError(f"Rows without a value in {column}.")
     return df
 
 

@@ -1,13 +1,15 @@
 """Label codes, one-hot columns and standard scaling."""
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from frostline.functions.numeric import finite
 from frostline.operators.contracts import drop_identifier, split_features_targets
 from frostline.operators.small import join_checked, rows_if_small, with_totals
 from frostline.schema import ACTION, CARGO, ID, RISK, SENSORS
+from frostline.workspace import fresh_path
 
 LABEL_LIMIT = 1_000
+LITERAL_LABELS = 32  # searched one by one in each row
 
 
 def fit_labels(df: DataFrame, column: str, limit: int = LABEL_LIMIT) -> list[str] | None:
@@ -24,18 +26,31 @@ def _code_of(column: str, labels: list[str]) -> Column:
 
 
 def code_table(df: DataFrame, column: str) -> DataFrame:
-    """Alphabetical codes for any number of labels: a range sort with per-partition counts."""
-    ordered = df.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column)
-    numbered = ordered.rdd.zipWithIndex().map(lambda pair: (pair[0][0], pair[1]))
-    return df.sparkSession.createDataFrame(numbered, f"`{column}` string, code bigint")
+    """Alphabetical codes for any number of labels.
+
+    The labels are cut into ranges and written with their range's number, which then can't change; a code is a label's
+    place in its range after all labels of earlier ranges.
+    """
+    spark, path = df.sparkSession, fresh_path(df.sparkSession, "labels")
+    ranged = df.select(column).where(F.col(column).isNotNull()).distinct().repartitionByRange(F.col(column))
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    labels = spark.read.parquet(path)
+    sizes = labels.groupBy("_range").agg(F.count("*").alias("_n"))  # one row per range
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_range", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_start"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(column))
+    return labels.withColumn("_place", place).join(starts, "_range").select(column, (F.col("_start") + F.col("_place") - 1).alias("code"))
 
 
 def label_encode(df: DataFrame, column: str, labels: list[str] | None = None,
                  output: str = "code", limit: int = LABEL_LIMIT) -> DataFrame:
     """Alphabetical code of a label; labels fitted elsewhere may be passed in."""
     labels = labels if labels is not None else fit_labels(df, column, limit)
-    if labels is not None:
+    if labels is not None and len(labels) <= LITERAL_LABELS:
         return df.withColumn(output, _code_of(column, labels).cast("bigint"))
+    if labels is not None:
+        known = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(labels)], f"`{column}` string, `{output}` bigint")
+        return join_checked(df, known, [column], "left")
     codes = code_table(df, column).withColumnRenamed("code", output)
     return join_checked(df, codes, [column], "left")
 

@@ -241,7 +241,7 @@ def model_leaderboard(baseline: DataFrame, tuned: DataFrame, by: str | None = No
 
 def best_model(board: DataFrame) -> DataFrame:
     """First row of each experiment with the reason."""
-    return board.where(F.col("Rank") == 1).withColumn("reason", F.lit("Highest weighted F1 Score."))
+    return board.where(F.col("Rank") == 1).withColumn("reason", F.lit("Ranked first by weighted F1."))
 
 
 def comparison_summary(board: DataFrame, by: str | None = None, score: str = "F1_Score") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from frostline.functions import decisions
 from frostline.functions.numeric import clip
+from frostline.operators.contracts import quarantined_rows, validate_ranges
 from frostline.schema import CLASSES, PREDICTED_RISK, PROBABILITIES, probability
 
 MODEL_NAME = "model"
@@ -67,7 +68,7 @@ def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel |
     """Validate, predict risk, predict probabilities and decide: one stage without a shuffle.
 
     Without models the risk and probability columns must already be there. Rows outside
-    the allowed ranges are left out; `validate_ranges` and `quarantined_rows` show them.
+    the allowed ranges are left out; `score_or_quarantine` gives them back as well.
     """
     rows = df.where(decisions.in_ranges())
     if risk_model is not None:
@@ -75,3 +76,11 @@ def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel |
     if classifier is not None:
         rows = add_probabilities(rows.drop(*PROBABILITIES), classifier, classes)
     return decide(rows, threshold, classes, model_name)
+
+
+def score_or_quarantine(df: DataFrame, threshold: float, risk_model: PipelineModel | None = None,
+                        classifier: PipelineModel | None = None, classes: list[str] = CLASSES,
+                        model_name: str = MODEL_NAME) -> tuple[DataFrame, DataFrame]:
+    """Decided rows, and the rows that can't be scored with the names of the offending columns: every row is in one of them."""
+    scored = score_shipments(df, threshold, risk_model, classifier, classes, model_name)
+    return scored, quarantined_rows(validate_ranges(df))

@@ -118,7 +118,7 @@ def _learner(cls, seed: int, **params):
     return cls(seed=seed, checkpointInterval=10, **params)
 
 
-# Fixed values below: the learners' settings. Boosters with 31 leaves become depth 5.
+# Fixed values below: the learners' settings. Depth 30, MLlib's deepest, stands for "no limit". Boosters with 31 leaves become depth 5.
 
 def regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator]:
     """Candidates of the regression run; `share` shrinks the number of trees for trials."""
@@ -140,7 +140,8 @@ def legacy_regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator
                                   minInstancesPerNode=4, featureSubsetStrategy="all", labelCol=RISK),
         "boosted_depthwise": _learner(GBTRegressor, seed, maxIter=_trees(300, share), stepSize=0.03, maxDepth=4,
                                       subsamplingRate=0.7, labelCol=RISK),
-        "boosted_leafwise": _learner(GBTRegressor, seed, maxIter=_trees(700, share), stepSize=0.01, maxDepth=5, labelCol=RISK),
+        "boosted_leafwise": _learner(GBTRegressor, seed, maxIter=_trees(700, share), stepSize=0.01, maxDepth=5,
+                                     subsamplingRate=0.8, labelCol=RISK),
     }
 
 
@@ -158,7 +159,7 @@ def classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Callable[..., E
 
     def forest(bootstrap):
         def build(**changes):
-            settings = {"numTrees": _trees(400, share), "maxDepth": 20, "minInstancesPerNode": 2,
+            settings = {"numTrees": _trees(400, share), "maxDepth": 30, "minInstancesPerNode": 2,
                         "bootstrap": bootstrap, "featureSubsetStrategy": "sqrt"}
             return _learner(RandomForestClassifier, seed, labelCol="label", weightCol="weight", **{**settings, **changes})
         return build
@@ -171,13 +172,12 @@ def baseline_classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Estima
     return {
         "logistic": LogisticRegression(family="multinomial", maxIter=1000, labelCol="label"),
         "decision_tree": _learner(DecisionTreeClassifier, seed, maxDepth=30, labelCol="label"),
-        "random_forest": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=20, labelCol="label"),
-        "forest_no_bootstrap": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=20,
+        "random_forest": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=30, labelCol="label"),
+        "forest_no_bootstrap": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=30,
                                         bootstrap=False, featureSubsetStrategy="sqrt", labelCol="label"),
     }
 
 
-# Depth 30 is MLlib's deepest tree and stands for "no limit".
 CLASSIFIER_GRIDS = {
     "boosted": {"maxIter": [300, 500, 700], "stepSize": [0.03, 0.05, 0.08], "maxDepth": [5, 6, 7],
                 "subsamplingRate": [0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.8", "0.9", "all"]},

@@ -18,7 +18,7 @@ def augment_training_rows(train: DataFrame, warning: int = 5000, emergency: int
     seeds = filter_class(train, WARNING)
     real = seeds.count()
     if real == 0:
-        raise ValueError("Domain augmentation needs at least one real WARNING row.")
+        raise ValueError("There is no WARNING row to draw synthetic rows from.")
     made = train
     for kind, n in (("warning", max(0, warning - real)), ("emergency", emergency)):
         if n:

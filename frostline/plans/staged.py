@@ -31,7 +31,7 @@ from frostline.workspace import enable_checkpoints
 
 
 def run_staged(df: DataFrame, out: str, seed: int = 42, targets: Mapping[str, int] = TARGETS, share: float = 1.0,
-               n_iter: int = 20, folds: int = 3, tuned: tuple[str, ...] = ("random_forest", "forest_no_bootstrap"),
+               n_iter: int = 20, folds: int = 5, tuned: tuple[str, ...] = ("random_forest", "forest_no_bootstrap"),
                parallelism: int = 2) -> DataFrame:
     """Each stage reads and writes tables below `out`; returns the model leaderboard with the test row.
 

@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from frostline.operators.contracts import quarantined_rows, validate_ranges
 from frostline.operators.scoring import score_shipments
 
 
@@ -11,11 +12,19 @@ def score_stream(stream: DataFrame, threshold: float, sink: str, checkpoint: str
     """Score a streaming table into a parquet folder, exactly once through the checkpoint.
 
     The default trigger works through what is there and stops; pass for example
-    `{"processingTime": "1 minute"}` to keep running.
+    `{"processingTime": "1 minute"}` to keep running. Rows outside the allowed ranges are for `quarantine_stream`.
     """
-    scored = score_shipments(stream, threshold, risk_model, classifier)
+    return _append(score_shipments(stream, threshold, risk_model, classifier), sink, checkpoint, trigger)
+
+
+def quarantine_stream(stream: DataFrame, sink: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """The rows that `score_stream` leaves out, with their `violations`, into a folder of their own, exactly once."""
+    return _append(quarantined_rows(validate_ranges(stream)), sink, checkpoint, trigger)
+
+
+def _append(rows: DataFrame, sink: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
-        scored.writeStream.format("parquet").outputMode("append")
+        rows.writeStream.format("parquet").outputMode("append")
         .option("checkpointLocation", checkpoint).option("path", sink)
         .trigger(**(trigger or {"availableNow": True})).start()
     )
