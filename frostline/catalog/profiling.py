@@ -87,7 +87,7 @@ QUERIES = {
         ops.boxplot_stats(_rows(s, d)), ["q1", "median", "q3", "whisker_low", "whisker_high"], ["feature", "fliers"]),
     "mutual_information": _information,
     "mutual_information_risk": _information_risk,
-    "forest_importance": lambda s, d: forest_importance(_rows(s, d), NUMERIC, trees=10, depth=5),
+    "forest_importance": lambda s, d: forest_importance(_rows(s, d), NUMERIC),
     "eda_summary": _eda_summary,
 }
 

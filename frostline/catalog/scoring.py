@@ -50,9 +50,7 @@ def _score_with_models(spark, sf_dir):
     rows = telemetry(spark, sf_dir).drop("Event_Time")
     risk = fit_regressor(rows, legacy_regressors()["linear"])
     labelled = prepare_labels(add_predicted_risk(rows, risk))
-    tree = baseline_classifiers()["decision_tree"].copy()
-    tree.setMaxDepth(5)
-    action = fit_classifier(labelled, tree)
+    action = fit_classifier(labelled, baseline_classifiers()["decision_tree"])
     return _flat(ops.score_shipments(rows.drop(RISK), THRESHOLD, risk, action))
 
 

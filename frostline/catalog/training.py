@@ -13,7 +13,7 @@ from frostline.schema import PREDICTED_RISK, SENSORS, WATTS
 
 # Watts are in thousands, so that products stay comparable.
 _SCALE = {c: 1000.0 if c == WATTS else 1.0 for c in SENSORS}
-# Share of the full tree counts that the registered queries grow.
+# Share of the full rounds that the registered boosters and searches grow; forests and lines are fitted whole.
 SHARE = 0.02
 
 
@@ -32,10 +32,10 @@ def _linear(spark, sf_dir):
     return wide.select(*[rounded(c, 4).alias(c) for c in ("one", *SENSORS)])
 
 
-def _regressor(name, legacy=True):
+def _regressor(name, legacy=True, share=1.0):
     def query(spark, sf_dir):
         train, test = _parts(spark, sf_dir)
-        learner = (ops.legacy_regressors if legacy else ops.regressors)(share=SHARE)[name]
+        learner = (ops.legacy_regressors if legacy else ops.regressors)(share=share)[name]
         return predict_risk(test, ops.fit_regressor(train, learner)).select(ID, RISK, PREDICTED_RISK)
     return query
 
@@ -83,12 +83,12 @@ def _risk_feature(spark, sf_dir):
 QUERIES = {
     "linear_regression": _linear,
     "forest_regression": _regressor("random_forest"),
-    "boosted_regression_depthwise": _regressor("boosted_depthwise"),
-    "boosted_regression_leafwise": _regressor("boosted_leafwise", legacy=False),
-    "logistic_regression": _classifier(lambda: ops.baseline_classifiers()["logistic"].copy().setMaxIter(50)),
+    "boosted_regression_depthwise": _regressor("boosted_depthwise", share=SHARE),
+    "boosted_regression_leafwise": _regressor("boosted_leafwise", legacy=False, share=SHARE),
+    "logistic_regression": _classifier(lambda: ops.baseline_classifiers()["logistic"]),
     "decision_tree": _classifier(lambda: ops.baseline_classifiers()["decision_tree"]),
-    "forest_classification": _classifier(lambda: ops.classifiers(share=SHARE)["random_forest"](maxDepth=10)),
-    "forest_no_bootstrap": _classifier(lambda: ops.classifiers(share=SHARE)["forest_no_bootstrap"](maxDepth=10)),
+    "forest_classification": _classifier(lambda: ops.classifiers()["random_forest"]()),
+    "forest_no_bootstrap": _classifier(lambda: ops.classifiers()["forest_no_bootstrap"]()),
     "boosted_multiclass": _classifier(lambda: ops.classifiers(share=0.006)["boosted"](maxDepth=3)),
     "random_search": _search,
     "select_best": _select_best,
