@@ -10,7 +10,7 @@ Without trusted documents all ratios are 0 and the base decides. An empty table
 struct column; a column of that name is replaced and all others stay.
 """
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Hash buckets of words and pairs; a power of two.
@@ -72,8 +72,8 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, doc_id: str, text: str) -> C
     pair = F.when(F.col("g").isNotNull(), bucket(F.col("h"), F.col("g")))
     grams = hashed.select("_trusted", F.explode(F.array(bucket(F.col("h")), pair)).alias("id")).where("id IS NOT NULL")
     counts = grams.groupBy("id").agg(F.count("*").alias("raw"), F.count("_trusted").alias("target"))
-    sums = counts.agg(F.struct(F.sum("raw").alias("raw"), F.sum("target").alias("target"))).scalar()
-    expected = F.col("raw") * (sums["target"] / sums["raw"])
+    whole = Window.partitionBy()  # one row per bucket
+    expected = F.col("raw") * (F.sum("target").over(whole) / F.sum("raw").over(whole))
     seen = counts.select("id", F.log((F.col("target") + STEADY) / (expected + STEADY)).alias("r"))
     every = docs.sparkSession.range(BUCKETS).join(seen, "id", "left")
     rows = F.sort_array(F.collect_list(F.struct("id", F.coalesce("r", F.lit(0.0)).alias("r"))))
@@ -99,17 +99,19 @@ def judge(docs: DataFrame, trusted: DataFrame, doc_id: str = "doc_id", text: str
             F.regexp_count(held, F.lit(r"[#*$%&|<>]")).cast("bigint").alias("n_symbols"),
             let(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("bigint")).alias("n_dup_lines"),
             let(F.transform(words, lambda w: F.xxhash64(w)), lambda names: F.struct(
-                repeated_words(names).alias("n_repeat_words"), mean(names).alias("log_ratio"))).alias("_of_names"))
+                repeated_words(names).alias("n_repeat_words"), mean(names).alias("log_ratio"))).alias("of_names"))
 
-    # The one reference to _ratios lets the optimizer put the subquery itself in its place: the array isn't copied into rows.
+    def verdict(count: Column) -> Column:
+        repeated, ratio = count["of_names"]["n_repeat_words"], count["of_names"]["log_ratio"]
+        failed = (count["n_words"] < LEAST_WORDS) | (100 * repeated > MOST_REPEATED * count["n_words"])
+        kept = ~failed & (F.coalesce(ratio, F.lit(0.0)) >= least)
+        own = [count[c].alias(c) for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines")]
+        return F.struct(*own, repeated.alias("n_repeat_words"), ratio.alias("log_ratio"), failed.alias("base_failed"), kept.alias("kept"))
+
+    # One expression with one reference to _ratios: the optimizer puts the subquery itself in its place instead of copying
+    # the array into rows, and a filter on the verdict, which it moves below, computes it once.
     rows = docs.drop(out).withColumn("_ratios", log_ratios(docs, trusted, doc_id, text))
-    rows = rows.withColumn("_counts", let(words_of(F.col(text)), counts))
-    own = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "_of_names.n_repeat_words", "_of_names.log_ratio"]
-    rows = rows.withColumn("_counts", F.struct(*[F.col(f"_counts.{c}") for c in own]))
-    count = F.col("_counts")
-    failed = (count["n_words"] < LEAST_WORDS) | (100 * count["n_repeat_words"] > MOST_REPEATED * count["n_words"])
-    kept = ~failed & (F.coalesce(count["log_ratio"], F.lit(0.0)) >= least)
-    return rows.withColumn(out, F.struct("_counts.*", failed.alias("base_failed"), kept.alias("kept"))).drop("_ratios", "_counts")
+    return rows.withColumn(out, let(let(words_of(F.col(text)), counts), verdict)).drop("_ratios")
 
 
 def trusted_documents(spark, sf_dir: str) -> DataFrame:
