@@ -109,7 +109,8 @@ def candidates(found: DataFrame) -> DataFrame:
     """Distinct pairs (x, y): every text with the smallest and the largest text that shares one of its sketches."""
     rows = found.select("key", F.explode("sketch").alias("sketch"))
     ends = rows.groupBy("sketch").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
-    met = rows.join(ends, "sketch")
+    # Written, so that adaptive execution sees two plain tables and can split a sketch that very many texts have.
+    met = rows.join(written(ends, "ends"), "sketch")
     pairs = met.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
     return pairs.select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y")).distinct()
 
@@ -185,13 +186,13 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """(doc_id, key, class_id, class_size, n_texts) for every row: its class and how many rows and texts that has."""
     held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", text_key(F.col("text")))
     rows = written(held.select("doc_id", "key"), "keys")
-    pairs = written(candidates(sketches(held, "text")), "pairs")
+    pairs = written(candidates(written(sketches(held, "text"), "sketches")), "pairs")
     roots = components(verified(pairs, held.where("key IS NOT NULL"), "text"), "x", "y")
     marked = rows.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node")
     texts = marked.groupBy("root", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     about = texts.where("root IS NOT NULL").groupBy("root").agg(
         F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("n_texts"))
-    named = marked.join(about, "root", "left")
+    named = marked.join(written(about, "classes"), "root", "left")
     return named.select("doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
                         F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_texts", F.lit(1)).alias("n_texts"))
 
