@@ -122,7 +122,7 @@ def test_packing_odd_texts(spark, tricky):
 
 
 def test_remembered_words_equal_the_tokenizer():
-    odd = ["a. b, c.\nd.\n e, f.", "é, ó. ñ.\n x", "a). b", "_, x", "…, y. z", "², a, b", ", , a. b", "Hello, World's don't. A.B, x..,",
+    odd = ["straße ɐ ᾳ ǆ ªº ⅷ ŉ ﬁ", "é, ó. ×, ÷. ß, À. ÿ", "x×, a÷. b", "a. b, c.\nd.\n e, f.", "é, ó. ñ.\n x", "a). b", "_, x", "…, y. z", "², a, b", ", , a. b", "Hello, World's don't. A.B, x..,",
            "İstanbul H̱ Å \x1cq \x0b v", "<|endoftext|> x <|ENDOFTEXT|>", "x" * 5000, "K ΣΣ 한국", "3.14, 5, '., 's. it's, THE'RE", "", None]
     known = packing.Words(packing.word_tokenizer())
     for _ in range(2):
@@ -240,7 +240,7 @@ def test_passages_are_cut_once(spark, tricky):
     whole = sum(len(set(shared.split()) & set((t or "").split())) >= 50 for t in kept.values())
     assert whole == 1
     assert all(own[i - 1] in kept[i] for i in (1, 2, 3, 4))
-    found, _ = passages.shared(tricky)
+    found = passages.shared(tricky)[0]
     assert found.count() == 0
     assert passages.substring_dedup_stage(spark, docs.limit(0), SMALL).count() == 0
 
