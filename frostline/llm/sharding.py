@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from frostline.llm.text import written
+
 #: Rows that share one sort; the number of buckets follows the number of rows.
 BUCKET_ROWS = 500_000
 #: Equal rows that one task writes out in one go.
@@ -78,7 +80,8 @@ def op3_sharding(spark, sf_dir: str) -> DataFrame:
     rows = docs.select("doc_id", (F.octet_length(text) + 1).cast("bigint").alias("size"), F.crc32(text).alias("text_crc32"),
                        F.lit("key").alias("law"))
     rows = assign(assign(rows, ["doc_id"], [1.0] * 8), ["doc_id"], [1.0] * 9, "grown_shard")
-    return number(rows, "shard", F.md5(key_text("doc_id")), docs.count())
+    rows = written(rows, "shards")  # numbering reads them more than once, and they are small beside the texts
+    return number(rows, "shard", F.md5(key_text("doc_id")), rows.count())
 
 
 _SHARDS = """list_reduce([struct_pack(d := -ln((('0x' || md5(k || '/' || i)[1:13])::BIGINT + 0.5) / 4503599627370496.0), i := i)
