@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
@@ -34,16 +35,19 @@ SHARD_BYTES = 16 << 20
 #: BM25's constants, and how many of a seed's terms ask for neighbours.
 K1, B, ASKED = 1.2, 0.75, 24
 #: Words that a worker remembers, by 64-bit hash, and the most bytes of ids of one.
-REMEMBERED, LONGEST = 1_000_000, 64
-#: Words that are encoded as one text.
-TOGETHER = 256
+REMEMBERED, LONGEST = 600_000, 64
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("length", pa.int64()), ("ids", pa.binary()),
                      ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64())])
 #: Bytes as they count for words between ASCII blanks, and which of them are letters and digits, commas and full stops.
 _BYTES = np.arange(256, dtype=np.uint8)
 _FOLD = np.where(np.isin(_BYTES, list(b" \t\n\r\x0b\x0c")), 0, np.where((_BYTES >= 65) & (_BYTES <= 90), _BYTES + 32, _BYTES)).astype(np.uint8)
+#: How byte-level tokenizers show bytes: printable ones as themselves, the others as the characters from 256 on, in order.
+_PLAIN = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_SHOWN = {b: 256 + i for i, b in enumerate(sorted(set(range(256)) - set(_PLAIN)))}
 _ALNUM = np.isin(_BYTES, list(b"abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"))
+#: Second bytes, after C3, of the letters from U+00C0 to U+00FF: all but the signs for times and divided by.
+_LATIN = (_BYTES >= 0x80) & (_BYTES <= 0xBF) & ~np.isin(_BYTES, [0x97, 0xB7])
 _POINT = np.isin(_BYTES, list(b".,"))
 
 
@@ -61,30 +65,30 @@ class Words:
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
-        """Words of letters alone, each one piece for the tokenizer, in one text: that is quicker than one by one."""
-        found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-        owner, ids = np.array(found.word_ids, np.int64), np.array(found.ids, self.dtype)
-        ends = np.append(np.flatnonzero(np.diff(owner)) + 1, len(ids))
-        if len(ends) != len(words):
-            return self._encode(words)
-        return [ids[a:b].tobytes() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+    def _encode_letters(self, words: list[bytes]) -> list[bytes]:
+        """Words of small letters alone are one piece each and pass the tokenizer's first steps unchanged: its model suffices."""
+        split, ids, ends = self.tokenizer.model.tokenize, [], [0]
+        for word in words:
+            shown = word.decode() if word.isascii() else word.decode("latin-1").translate(_SHOWN)
+            ids += [t.id for t in split(shown)]
+            ends.append(len(ids) * self.dtype.itemsize)
+        flat = np.array(ids, self.dtype).tobytes()
+        return [flat[a:b] for a, b in zip(ends, ends[1:])]
 
     def _encode_all(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode() for w in words]
-        letters = [i for i, w in enumerate(texts) if w.isalpha()]
-        others = [i for i, w in enumerate(texts) if not w.isalpha()]
+        letters = [i for i, w in enumerate(texts) if w.isalpha() and w.islower()]
+        others = sorted(set(range(len(texts))).difference(letters))
         found = dict(zip(others, self._encode([texts[i] for i in others])))
-        for at in range(0, len(letters), TOGETHER):
-            some = letters[at:at + TOGETHER]
-            found.update(zip(some, self._encode_words([texts[i] for i in some])))
+        found.update(zip(letters, self._encode_letters([words[i] for i in letters])))
         return [found[i] for i in range(len(words))]
 
     def ids(self, texts: pa.Array) -> list[bytes]:
         """The ids of each text, without an end token."""
         data, bounds = flat_bytes(texts)
         hashes, starts, stops, rows = word_spans(data, bounds, _FOLD, _ends_apart(data, bounds))
-        names, first, which = np.unique(hashes, return_index=True, return_inverse=True)
+        which, names = pd.factorize(hashes)  # in order of appearance
+        first = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
         names = names.tolist()
         parts = list(map(self.known.get, names))
         new = [i for i, x in enumerate(parts) if x is None]
@@ -118,12 +122,13 @@ def _plain(text: str) -> bool:
 
 
 def _ends_apart(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
-    """Commas and full stops between a letter or digit of ASCII and a blank: pieces of their own for the tokenizer too."""
+    """Commas and full stops between a Latin letter or a digit and a blank: pieces of their own for the tokenizer too."""
     after = np.ones(len(data), bool)
     after[:-1] = _FOLD[data[1:]] == 0
     after[bounds[(bounds > 0)] - 1] = True
     before = np.zeros(len(data), bool)
     before[1:] = _ALNUM[data[:-1]]
+    before[2:] |= (data[:-2] == 0xC3) & _LATIN[data[1:-1]]
     before[bounds[bounds < len(data)]] = False
     return _POINT[data] & after & before
 
