@@ -245,6 +245,21 @@ def test_passages_are_cut_once(spark, tricky):
     assert passages.substring_dedup_stage(spark, docs.limit(0), SMALL).count() == 0
 
 
+@pytest.mark.parametrize("gap", [30, 60, 100, 150, 200])
+def test_two_passages_apart_are_both_found(gap):
+    rng = random.Random(gap)
+    word = lambda n: [f"w{rng.randint(0, 10**6)}" for _ in range(n)]
+    for _ in range(20):
+        one, two = word(55), word(55)
+        x, y = (text.hashed_words(pa.array([" ".join([*word(70), *one, *word(gap), *two, *word(70)])]))[0] for _ in range(2))
+        sides = [text.shingles(h, np.array([0, len(h)]), passages.K) for h in (x, y)]
+        (p, o) = ({int(r[i]): int(i) for i in passages.winnowed(r, e)} for r, e in sides)
+        found = [f for c in passages.chains([(p[s], o[s]) for s in p if s in o]) for f in passages.parts(x, y, c)]
+        covered = {i for a, b, *_ in found for i in range(a, b)}
+        assert {*range(70, 125), *range(125 + gap, 180 + gap)} <= covered
+        assert len(covered) <= 116
+
+
 def test_quality_of_odd_texts(spark, tricky):
     none = spark.createDataFrame([], "doc_id bigint")
     found = quality.judge(tricky, none)
