@@ -3,7 +3,9 @@
 The k-mers of a text are its runs of five words, labelled with how often the run came before. For each of `SKETCHES`
 hash functions the `KEPT` labelled k-mers with the smallest values are taken and put in text order: texts share a
 sketch when they share those k-mers in that order, which follows their edit similarity. Texts that share a sketch are
-compared with the smallest and the largest of them, not with each other: links grow with the texts, not with pairs.
+compared with the smallest and the largest of them first. While a sketch has texts of several components, some of its
+texts, those that meet most others first, are compared with all its texts of other components, four times as many in
+each round, until no two texts of a sketch are in different components without having been compared.
 
 A candidate is a near duplicate when its five-word runs agree to `LEAST` (Jaccard, counted with repeats) and an
 alignment inside a band of diagonals, as wide as that similarity allows, keeps the same share of the longer text's words.
@@ -90,29 +92,69 @@ def sketch(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, text: str) -> DataFrame:
-    """(key, n_words, sketch) for every row of `docs` whose text has words; `docs` has the struct `key`."""
+    """(key, n, sketch) for every row of `docs` whose text has words, n its k-mers; `docs` has the struct `key`."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 hashes, bounds = hashed_words(batch.column("text"))
                 found = sketch(hashes, bounds)
-                rows = pa.array(np.flatnonzero(np.diff(bounds)))
+                words = np.diff(bounds)
+                rows, n = pa.array(np.flatnonzero(words)), pa.array(np.maximum(words[words > 0] - K + 1, 1).astype(np.int64))
                 each = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, SKETCHES, dtype=np.int32)), pa.array(found.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows), each], ["a", "b", "sketch"])
+                yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows), n, each], ["a", "b", "n", "sketch"])
 
     held = docs.select(F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col(text).alias("text")).where("a IS NOT NULL")
-    found = held.mapInArrow(made, "a bigint, b bigint, sketch array<bigint>")
-    return found.select(F.struct("a", "b").alias("key"), "sketch")
+    found = held.mapInArrow(made, "a bigint, b bigint, n bigint, sketch array<bigint>")
+    return found.select(F.struct("a", "b").alias("key"), "n", "sketch")
 
 
-def candidates(found: DataFrame) -> DataFrame:
-    """Distinct pairs (x, y): every text with the smallest and the largest text that shares one of its sketches."""
-    rows = found.select("key", F.explode("sketch").alias("sketch"))
-    ends = rows.groupBy("sketch").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low <> high")
+def candidates(found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (x, y), every text with the smallest and the largest text that shares one of its sketches; and
+    (sketch, key, n, size) of the sketches of three texts or more, whose other pairs `linked` goes through.
+    """
+    rows = found.select("key", "n", F.explode("sketch").alias("sketch"))
+    ends = rows.groupBy("sketch").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("size")).where("low <> high")
     # Written, so that adaptive execution sees two plain tables and can split a sketch that very many texts have.
-    met = rows.join(written(ends, "ends"), "sketch")
+    ends = written(ends, "ends")
+    met = rows.join(ends, "sketch")
     pairs = met.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    return pairs.select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y")).distinct()
+    pairs = pairs.select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y")).distinct()
+    return pairs, rows.join(ends.where("size > 2").select("sketch", "size"), "sketch").select("sketch", "key", "n", "size").distinct()
+
+
+def unsettled(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """The rows of the sketches that have texts of several components, with `root`."""
+    named = written(rows.drop("root").join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node"), "named")
+    several = named.groupBy("sketch").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
+    return written(named.join(written(several.select("sketch"), "several"), "sketch"), "open")
+
+
+def linked(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
+    """(node, root) of the components of all near duplicates that share a sketch.
+
+    A pair is left out only when its texts are in one component already, or when their numbers of k-mers alone rule it out.
+    """
+    pairs, rows = candidates(found)
+    checked = written(pairs, "pairs")
+    roots = components(verified(checked, docs, text), "x", "y")
+    rows = unsettled(rows, roots)
+    weights = rows.groupBy("key").agg(F.sum("size").alias("weight"))
+    rows, salts = written(rows.join(weights, "key"), "open"), 1
+    while rows.limit(1).count():
+        chosen = rows.groupBy("sketch", F.pmod(F.xxhash64("key", F.lit(salts)), F.lit(salts))).agg(
+            F.max_by(F.struct("key", "n", "root"), F.struct("weight", "key")).alias("pivot"))
+        chosen = written(chosen.select("sketch", "pivot"), "pivots")
+        met = rows.join(chosen, "sketch").where("root <> pivot.root").where(
+            F.least("n", "pivot.n") >= LEAST * F.greatest("n", "pivot.n"))
+        pairs = met.select(F.least("key", "pivot.key").alias("x"), F.greatest("key", "pivot.key").alias("y")).distinct()
+        pairs = written(pairs.join(checked, ["x", "y"], "left_anti"), "pairs")
+        checked = checked.unionByName(pairs)
+        links = verified(pairs, docs, text).unionByName(roots.select(F.col("node").alias("x"), F.col("root").alias("y")))
+        roots = components(links, "x", "y")
+        done = chosen.select(F.col("sketch").alias("s"), F.col("pivot.key").alias("k"))
+        rows = unsettled(rows.join(done, (F.col("sketch") == F.col("s")) & (F.col("key") == F.col("k")), "left_anti"), roots)
+        salts *= 4
+    return roots
 
 
 def aligned(x: list, y: list, most: int) -> int | None:
@@ -186,8 +228,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     """(doc_id, key, class_id, class_size, n_texts) for every row: its class and how many rows and texts that has."""
     held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", text_key(F.col("text")))
     rows = written(held.select("doc_id", "key"), "keys")
-    pairs = written(candidates(written(sketches(held, "text"), "sketches")), "pairs")
-    roots = components(verified(pairs, held.where("key IS NOT NULL"), "text"), "x", "y")
+    roots = linked(written(sketches(held, "text"), "sketches"), held.where("key IS NOT NULL"), "text")
     marked = rows.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node")
     texts = marked.groupBy("root", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
     about = texts.where("root IS NOT NULL").groupBy("root").agg(

@@ -183,6 +183,20 @@ def test_near_duplicates_of_odd_texts(spark, tricky):
         str(x) for x in (1, 2, 3, 4, 5, 6, 7, 9, None))
 
 
+def test_variants_meet_through_their_base(spark):
+    """1,000 variants are near the base, but not near each other: one class."""
+    rng = random.Random(9)
+    base = [f"w{rng.randint(0, 9999)}" for _ in range(300)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1001):
+        variant = list(base)
+        for j in range(5):
+            variant[60 * j + rng.randint(5, 54)] = f"v{i}x{j}"
+        rows.append((i, " ".join(variant)))
+    found = orderminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)).collect()
+    assert len(found) == 1001 and {(r.class_id, r.class_size) for r in found} == {(0, 1001)}
+
+
 def test_alignment_equals_simple_version():
     rng = random.Random(3)
     for _ in range(500):
