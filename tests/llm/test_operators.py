@@ -274,6 +274,23 @@ def test_two_passages_apart_are_both_found(gap):
         assert len(covered) <= 116
 
 
+def test_frequent_lines_in_a_shared_order_are_found(spark):
+    """Each line of a passage is owned by some text that has no other line of it."""
+    rng = random.Random(6)
+    word = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    rows, spans = [], {}
+    for i in range(10):
+        lines = [word(15) for _ in range(4)]
+        rows += [(f"x{i}", f"{word(70)} {' '.join(lines)} {word(70)}"), (f"y{i}", f"{word(70)} {' '.join(lines)} {word(70)}")]
+        rows += [(f"{i} {j} {k}", f"{word(30)} {line} {word(30)}") for j, line in enumerate(lines) for k in range(8)]
+    found, held, _ = passages.shared(spark.createDataFrame(rows, "doc_id string, text string"))
+    names = {r.a: r.doc_id for r in held.select("a", "doc_id").collect()}
+    for r in found.collect():
+        spans.setdefault(frozenset((names[r.a], names[r.owner])), set()).update(range(r.start, r.end))
+    for i in range(10):
+        assert spans.get(frozenset((f"x{i}", f"y{i}")), set()) >= set(range(70, 130))
+
+
 def test_quality_of_odd_texts(spark, tricky):
     none = spark.createDataFrame([], "doc_id bigint")
     found = quality.judge(tricky, none)
