@@ -291,6 +291,25 @@ def test_frequent_lines_in_a_shared_order_are_found(spark):
         assert spans.get(frozenset((f"x{i}", f"y{i}")), set()) >= set(range(70, 130))
 
 
+def test_owners_repeats_are_passages(spark):
+    """A text with the passage twice lists both, and the stage keeps one occurrence, whichever text is the owner."""
+    rng = random.Random(7)
+    word = lambda n: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(n))
+    shared = {f"x{i}": word(60) for i in range(10)}
+    rows = [(x, f"{word(70)} {s} {word(70)} {s} {s} {word(70)}", 0) for x, s in shared.items()]
+    rows += [(f"y{x}", f"{word(70)} {s} {word(70)}", 0) for x, s in shared.items()]
+    docs = spark.createDataFrame(rows, "doc_id string, text string, n_chars bigint")
+    found, held, _ = passages.shared(docs)
+    names, covered = {r.a: r.doc_id for r in held.select("a", "doc_id").collect()}, {}
+    for r in found.collect():
+        assert r.a != r.owner or r.owner_end <= r.start
+        covered.setdefault(names[r.a], set()).update(range(r.start, r.end))
+        covered.setdefault(names[r.owner], set()).update(range(r.owner_start, r.owner_end))
+    assert all({*range(70, 130), *range(200, 320)} <= covered[x] and set(range(70, 130)) <= covered[f"y{x}"] for x in shared)
+    kept = {r.doc_id: r.text for r in passages.substring_dedup_stage(spark, docs, SMALL).collect()}
+    assert all(kept[x].count(s) + kept[f"y{x}"].count(s) == 1 for x, s in shared.items())
+
+
 def test_quality_of_odd_texts(spark, tricky):
     none = spark.createDataFrame([], "doc_id bigint")
     found = quality.judge(tricky, none)
