@@ -18,6 +18,7 @@ held whole by one task, with about fifty times its size beside it.
 import re
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -31,7 +32,9 @@ MARK = "▁"
 _MARK = np.frombuffer(MARK.encode(), np.uint8)
 _PARTS = re.compile(f"{MARK}+[^{MARK}]*|[^{MARK}]+")
 #: Parts of texts that a worker remembers, and ids of them.
-REMEMBERED, REMEMBERED_IDS = 400_000, 2_000_000
+REMEMBERED, REMEMBERED_IDS = 250_000, 2_000_000
+#: Bytes of text that are encoded together.
+SLICE = 1 << 20
 #: Numbers of the model format: kind of model, kinds of pieces.
 _BPE, _USER_DEFINED, _BYTE = 2, 4, 6
 
@@ -163,6 +166,23 @@ class Normaliser:
         return out, ends, np.insert(start, ends[1:], bounds[1:])
 
 
+class Numbers(dict):
+    """Numbers of parts, in the order in which they are first asked for."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, part: str) -> int:
+        self[part] = number = len(self)
+        self.new.append(part)
+        return number
+
+    def taken(self) -> list[str]:
+        """The parts that got their numbers since this was last asked."""
+        new, self.new = self.new, []
+        return new
+
+
 class Pieces:
     """A model's pieces for texts, with their spans."""
 
@@ -189,20 +209,22 @@ class Pieces:
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = Numbers()
         self.ids, self.sizes, self.bounds = array("i"), array("i"), array("q", [0])
 
     def _learn(self, parts: list[str]) -> None:
-        """Ids and lengths of parts that were not met before."""
-        for part, ids in zip(parts, self.inner.encode(parts, num_threads=1)):
-            sizes = self.length[ids].tolist()
-            if self.unknown in ids:
-                shown = self.inner.encode(part, out_type=str)
-                sizes = [len(s.encode()) if i == self.unknown else n for i, s, n in zip(ids, shown, sizes)]
-            self.known[part] = len(self.bounds) - 1
-            self.ids.extend(ids)
-            self.sizes.extend(sizes)
-            self.bounds.append(len(self.ids))
+        """Ids and lengths of the parts that were numbered last."""
+        found = self.inner.encode(parts, num_threads=1)
+        ids = np.fromiter(chain.from_iterable(found), np.int32)
+        sizes = self.length[ids].astype(np.int32)
+        ends = np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))
+        if (ids == self.unknown).any():
+            for i in np.unique(np.searchsorted(ends, np.flatnonzero(ids == self.unknown), "right")).tolist():
+                shown = self.inner.encode(parts[i], out_type=str)
+                sizes[ends[i] - len(shown):ends[i]] = [len(s.encode()) if n == self.unknown else self.length[n] for n, s in zip(found[i], shown)]
+        self.bounds.frombytes((ends + len(self.ids)).tobytes())
+        self.ids.frombytes(ids.tobytes())
+        self.sizes.frombytes(sizes.tobytes())
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Ids of all texts one after another without the end id, each text's bounds among them, and starts and ends of
@@ -218,8 +240,8 @@ class Pieces:
             mine = _PARTS.findall(text) if self.parted else [text] * bool(text)
             parts += mine
             counts.append(len(mine))
-        self._learn([p for p in dict.fromkeys(parts) if p not in self.known])
         which = np.fromiter(map(self.known.__getitem__, parts), np.int64, len(parts))
+        self._learn(self.known.taken())
         first = np.frombuffer(self.bounds, np.int64)
         size = first[which + 1] - first[which]
         last = np.cumsum(size)
@@ -252,7 +274,7 @@ def encoded(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = _pieces(content.value)
         for whole in batches:
-            for batch in small_slices(whole, "text"):
+            for batch in small_slices(whole, "text", SLICE):
                 ids, rows, starts, ends = pieces.encode(batch.column("text"))
                 n = np.diff(flat_bytes(batch.column("text"))[1])
                 lists = [np.insert(column, rows[1:], last) for column, last in ((ids, pieces.end), (starts, n), (ends, n))]
@@ -268,14 +290,14 @@ def encoded(docs: DataFrame, model: bytes, doc_id: str = "doc_id", text: str = "
 
 
 def decoded(rows: DataFrame, model: bytes, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """Every row with the text of its ids in column `out`, which replaces one of that name. Null ids have no text."""
+    """Every row with the text of its ids in column `out`, which replaces one of that name. No ids, no text; null ids are passed over."""
     content = rows.sparkSession.sparkContext.broadcast(model)
     rows = rows.drop(out)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode = _pieces(content.value).whole.decode
         for batch in batches:
-            texts = [None if x is None else decode(x) if x else "" for x in batch.column(ids).to_pylist()]
+            texts = [decode(x.values.drop_null().to_numpy().tolist()) if x.is_valid else None for x in batch.column(ids)]  # one by one
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, out])
 
     return rows.mapInArrow(made, StructType([*rows.schema.fields, StructField(out, StringType())]))
