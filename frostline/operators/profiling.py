@@ -4,10 +4,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
-from frostline.operators.quantiles import quantiles, range_count, running_counts, value_counts
+from frostline.operators.quantiles import quantiles, running_counts, value_counts
 from frostline.operators.small import with_totals
 from frostline.schema import ACTION, NUMERIC, RISK, SAFE, WARNING
-from frostline.workspace import fresh_path
+from frostline.workspace import fresh_path, remove
 
 # Bin edges of the target report.
 TARGET_EDGES = [0, 10, 20, 30, 40, 50, 60, 70, 80, 90, 100]
@@ -158,7 +158,7 @@ def spearman_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | N
     spark = df.sparkSession
     complete = df.select(*[finite(c).alias(c) for c in columns]).na.drop()
     path = fresh_path(spark, "ranks")
-    running_counts(value_counts(complete, columns), range_count(complete, columns)).select(
+    running_counts(value_counts(complete, columns)).select(
         "feature", "value", "n", "total", (F.col("before") + (F.col("n") + 1) / 2.0).alias("rank")
     ).write.partitionBy("feature").parquet(path)  # one folder per column name
     ranks = spark.read.schema("feature string, value double, n bigint, total bigint, rank double").parquet(path)
@@ -173,7 +173,9 @@ def spearman_matrix(df: DataFrame, columns: list[str] = NUMERIC, digits: int | N
         centres[c] = (known[c]["mean"], known[c]["std"], rows) if c in known else (None, None, 0)
         table = ranks.where(F.col("feature") == c).select(F.col("value").alias(c), F.col("rank").alias("_rank"))
         ranked = ranked.join(table, c).drop(c).withColumnRenamed("_rank", c)
-    return _correlation_long(_correlations(ranked, columns, rows, centres), columns, digits)
+    matrix = _correlation_long(_correlations(ranked, columns, rows, centres), columns, digits)  # k * k numbers, found here
+    remove(spark, path)
+    return matrix
 
 
 def top_correlations(matrix: DataFrame, n: int = 10) -> DataFrame:

@@ -1,5 +1,6 @@
 """Joining a table that is usually small, without trusting that it is."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 SMALL_ROWS = 100_000
@@ -11,6 +12,12 @@ def rows_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def table_if_small(df: DataFrame, limit: int = SMALL_ROWS) -> pa.Table | None:
+    """The same as an Arrow table, from which `createDataFrame` makes a relation of known size."""
+    table = df.limit(limit + 1).toArrow()
+    return table if table.num_rows <= limit else None
+
+
 def join_checked(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",
                  limit: int = SMALL_ROWS) -> DataFrame:
     """Broadcast `small` only after counting it; otherwise a shuffled join that AQE can split."""

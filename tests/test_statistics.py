@@ -1,5 +1,9 @@
 """Profiles, selection and metrics against pandas, numpy and the published relations."""
 
+import random
+import struct
+import sys
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +16,29 @@ def _pairs(rows):
     return {(r["feature_1"], r["feature_2"]): r["correlation"] for r in rows.collect()}
 
 
-@pytest.mark.parametrize("partitions,width,each", [(1, "8", 2_000_000), (1, "8", 100), (8, "400", 7)])
-def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, each):
-    """The same with one range of distinct values and with hundreds."""
-    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
+def _by_hand(monkeypatch, few, stored):
+    """Scans that refine further than so few rows need, and cells that are kept in a table."""
+    monkeypatch.setattr(quantiles, "FEW_ROWS", few)
+    if stored:
+        monkeypatch.setattr(quantiles, "table_if_small", lambda df: None)
+
+
+def test_sort_keys_are_the_bits_in_order(spark):
+    rng = random.Random(1)
+    values = [0.0, 5e-324, sys.float_info.min, np.nextafter(sys.float_info.min, 0.0), sys.float_info.max, float("inf"), 1.0, 0.1]
+    values += [v for k in range(-1074, 1024, 7) for v in (2.0 ** k, np.nextafter(2.0 ** k, 0.0), np.nextafter(2.0 ** k, np.inf))]
+    drawn = [struct.unpack("<d", struct.pack("<Q", rng.getrandbits(63)))[0] for _ in range(2000)]
+    values = [float(v) for v in values + drawn if v == v]
+    rows = spark.createDataFrame([(s * v,) for v in values for s in (1, -1)], "value double")
+    for r in quantiles.with_sort_key(rows).collect():
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["value"])))[0]
+        assert r["key"] == (-bits if r["value"] < 0 else bits)
+
+
+@pytest.mark.parametrize("partitions,width,few,stored", [(1, "8", 1_000_000, False), (1, "8", 0, False), (8, "40", 0, True)])
+def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, few, stored):
+    """The same from two scans and from four, with the cells in memory and in a table."""
+    _by_hand(monkeypatch, few, stored)
     values = np.concatenate([np.full(3000, 7.25), np.random.default_rng(1).normal(size=3001), [1e9, -1e9]])
     rows = spark.createDataFrame([(float(v), None if v > 2 else float(v)) for v in values], "a double, b double")
     rows = rows.unionByName(spark.createDataFrame([(float("nan"), float("nan"))], "a double, b double")).repartition(partitions)
@@ -30,31 +53,63 @@ def test_quantiles_equal_numpy(spark, monkeypatch, partitions, width, each):
     np.testing.assert_allclose(found["b"], np.quantile(values[values <= 2], probs), rtol=1e-12)
 
 
-@pytest.mark.parametrize("each", [2_000_000, 50])
-def test_grouped_quantiles_equal_numpy(spark, monkeypatch, each):
-    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
+@pytest.mark.parametrize("few,stored", [(1_000_000, False), (0, True)])
+def test_grouped_quantiles_equal_numpy(spark, monkeypatch, few, stored):
+    _by_hand(monkeypatch, few, stored)
     rng = np.random.default_rng(5)
-    frame = [(("x", "y")[i % 2], float(v), float(round(v, 1)) if i % 5 else None) for i, v in enumerate(rng.normal(size=20_001))]
+    names = ("x", "y", None)
+    frame = [(names[i % 3], float(v), float(round(v, 1)) if i % 5 else None) for i, v in enumerate(rng.normal(size=20_001))]
     rows = spark.createDataFrame(frame, "g string, a double, b double")
     probs = [0.0, 0.1, 0.5, 0.9, 1.0]
     found = {(r["g"], r["feature"]): [r[f"q{i}"] for i in range(5)] for r in quantiles.quantiles(rows, ["a", "b"], probs, ["g"]).collect()}
-    for g in "xy":
+    for g in names:
         a = [f[1] for f in frame if f[0] == g]
         b = [f[2] for f in frame if f[0] == g and f[2] is not None]
         np.testing.assert_allclose(found[(g, "a")], np.quantile(a, probs), rtol=1e-12)
         np.testing.assert_allclose(found[(g, "b")], np.quantile(b, probs), rtol=1e-12)
 
 
-@pytest.mark.parametrize("each", [2_000_000, 2])
-def test_quantiles_of_infinities(spark, monkeypatch, each):
-    """Missing values are left out; between equal infinities lies the same infinity."""
-    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
+@pytest.mark.parametrize("few,stored", [(1_000_000, False), (0, True)])
+def test_quantiles_of_infinities(spark, monkeypatch, few, stored):
+    """Missing values are left out; between equal infinities lies the same infinity; zero has no sign."""
+    _by_hand(monkeypatch, few, stored)
     inf = float("inf")
     values = [-inf, -inf, -inf, 1.0, 2.0, 3.0, inf, inf, inf, inf, inf]
     rows = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "a double")
     probs = [0.0, 0.1, 0.3, 0.4, 0.75, 1.0]
     found = quantiles.quantiles(rows, ["a"], probs).first()
     assert [found[f"q{i}"] for i in range(6)] == [-inf, -inf, 1.0, 2.0, inf, inf]
+    zeros = spark.createDataFrame([(v,) for v in (-0.0, 0.0, -0.0, 5e-324, -5e-324)], "a double")
+    found = quantiles.quantiles(zeros, ["a"], [0.0, 0.25, 0.5, 0.75, 1.0]).first()
+    assert [repr(found[f"q{i}"]) for i in range(5)] == ["-5e-324", "0.0", "0.0", "0.0", "5e-324"]
+
+
+@pytest.mark.parametrize("spread", [1e-300, 1e-12, 1e300])
+def test_quantiles_of_close_and_far_values(spark, monkeypatch, spread):
+    """Values that differ in their last bits only, or by hundreds of powers of ten."""
+    _by_hand(monkeypatch, 0, False)
+    values = np.concatenate([1.0 + np.arange(500) * 2.0 ** -52, np.geomspace(spread, 1.0, 500), -np.geomspace(spread, 1.0, 500)])
+    rows = spark.createDataFrame([(float(v),) for v in values], "a double").repartition(5)
+    found = quantiles.quantiles(rows, ["a"], [0.1, 0.5, 0.9, 0.999]).first()
+    np.testing.assert_allclose([found[f"q{i}"] for i in range(4)], np.quantile(values, [0.1, 0.5, 0.9, 0.999]), rtol=1e-15)
+
+
+def test_running_counts_equal_ranks(spark):
+    rng = np.random.default_rng(8)
+    values = np.concatenate([rng.normal(size=500).round(1), rng.normal(size=500) * 1e-9, [0.0, -0.0]])
+    rows = spark.createDataFrame([(float(v),) for v in values], "a double")
+    for r in quantiles.running_counts(quantiles.value_counts(rows, ["a"])).collect():
+        assert (r["before"], r["n"], r["total"]) == ((values < r["value"]).sum(), (values == r["value"]).sum(), len(values))
+
+
+def test_quantile_scans_sort_no_values(spark, readings, monkeypatch):
+    """Only cells are sorted, for their running counts, and only cells are shuffled."""
+    plans = []
+    settled = quantiles._settled
+    monkeypatch.setattr(quantiles, "_settled", lambda cells: plans.append(cells._jdf.queryExecution().executedPlan().toString()) or settled(cells))
+    quantiles.quantiles(readings, NUMERIC, [0.25, 0.5])
+    moved = [line for p in plans for line in p.splitlines() if "Sort [" in line or "Exchange hash" in line]
+    assert len(plans) == 2 and moved and not any("value" in line or "key" in line for line in moved)
 
 
 def test_quantiles_edge_inputs(spark):
@@ -75,9 +130,7 @@ def test_describe_empty_table(readings):
     assert len(rows) == len(NUMERIC) and all(r["count"] == 0 and r["mean"] is None for r in rows)
 
 
-@pytest.mark.parametrize("each", [2_000_000, 50])
-def test_correlations_equal_pandas(readings, monkeypatch, each):
-    monkeypatch.setattr(quantiles, "RANGE_VALUES", each)
+def test_correlations_equal_pandas(readings):
     frame = readings.select(NUMERIC).toPandas()
     for build, method in ((profiling.pearson_matrix, "pearson"), (profiling.spearman_matrix, "spearman")):
         expected = frame.corr(method=method)
