@@ -5,12 +5,14 @@ import os
 from pyspark.sql import functions as F
 
 from frostline.catalog.evaluation import THRESHOLD, action_sql
-from frostline.catalog.sql import CARGO, ID, SEAL, number, r6, views
+from frostline.catalog.sql import AMBIENT, CARGO, ID, SEAL, WATTS, number, r6, views
 from frostline.fixtures import FAULTY_SQL, SCORED_SQL, events_to_telemetry, scored, telemetry
 from frostline.functions.numeric import rounded
 from frostline.operators import scoring as ops
 from frostline.operators.training import fit_regressor, legacy_regressors
+from frostline.operators.trees import INPUTS as NODE_INPUTS, NODES, forest_from_table, raw_scores
 from frostline.schema import CLASSES, EMERGENCY, INPUTS, PREDICTED_RISK, PROBABILITIES, RISK, SAFE, WARNING
+from frostline.sources.models import load_forest, save_forest
 from frostline.streaming.scoring import quarantine_stream, score_stream
 from frostline.workspace import fresh_path
 
@@ -106,7 +108,31 @@ def entry(spark, sf_dir):
         rounded(F.avg(SEAL), 4).alias("avg_seal"))
 
 
+# A small model whose nodes SQL can walk too: three trees over five inputs.
+_NODE_INPUTS = [(0, "Temperature_Deviation_C", None, 0.0, 1.0), (1, SEAL, None, 0.0, 1.0), (2, AMBIENT, None, 32.0, 0.125),
+                (3, CARGO, "Dairy", 0.0, 1.0), (4, WATTS, None, 0.0, 0.001)]
+_NODE_ROWS = [  # tree, node, input, threshold, left, right, value, weight
+    (0, 0, 0, 2.0, 1, 2, 0.0, 1.0), (0, 1, 1, 0.8, 3, 4, 0.0, 1.0), (0, 2, 1, 0.6, 5, 6, 0.0, 1.0), (0, 3, -1, 0.0, 3, 3, 21.5, 1.0),
+    (0, 4, -1, 0.0, 4, 4, 14.25, 1.0), (0, 5, -1, 0.0, 5, 5, 64.0, 1.0), (0, 6, 0, 6.0, 7, 8, 0.0, 1.0), (0, 7, -1, 0.0, 7, 7, 33.0, 1.0),
+    (0, 8, -1, 0.0, 8, 8, 48.5, 1.0),
+    (1, 0, 2, 0.75, 1, 2, 0.0, 0.5), (1, 1, 4, 1.9, 3, 4, 0.0, 0.5), (1, 2, -1, 0.0, 2, 2, 3.5, 0.5), (1, 3, -1, 0.0, 3, 3, -2.0, 0.5),
+    (1, 4, -1, 0.0, 4, 4, 1.25, 0.5),
+    (2, 0, 3, 0.5, 1, 2, 0.0, 0.25), (2, 1, -1, 0.0, 1, 1, 1.0, 0.25), (2, 2, 1, 0.9, 3, 4, 0.0, 0.25), (2, 3, -1, 0.0, 3, 3, 2.0, 0.25),
+    (2, 4, -1, 0.0, 4, 4, -1.0, 0.25)]
+
+
+def _node_scores(spark, sf_dir):
+    """A stored node table scored in both ways: as generated code and by arrays."""
+    nodes = spark.createDataFrame([(*r[:6], [r[6]], r[7]) for r in _NODE_ROWS], NODES)
+    path = fresh_path(spark, "nodes")
+    save_forest(spark, path, forest_from_table(nodes, spark.createDataFrame(_NODE_INPUTS, NODE_INPUTS), (0.5,), "identity", "regression"))
+    forest = load_forest(spark, path)
+    rows = raw_scores(raw_scores(telemetry(spark, sf_dir), forest, "coded"), forest, "walked", 0)
+    return rows.select(ID, *[rounded(F.get(c, F.lit(0))).alias(c) for c in ("coded", "walked")])
+
+
 QUERIES = {
+    "node_scores": _node_scores,
     "predict_risk": _predict_risk,
     "class_probabilities": _probabilities,
     "confidence": lambda s, d: ops.confidence(scored(s, d)).select(ID, rounded("confidence").alias("confidence")),
@@ -147,7 +173,18 @@ _HELD = views("faulty") + f""", marked AS ({SCORED_SQL.format(telemetry="faulty"
     {_broken('HVAC_Power_Consumption_Watts', '0', None)}, {_broken('Seal_Integrity_Index', '0', '1')}) AS violations FROM marked)
     SELECT {ID}, CASE WHEN violations = '' THEN {_ACTION} END AS predicted_action, violations FROM named"""
 
+_NODE_WALK = views().replace("WITH", "WITH RECURSIVE", 1) + f""", numbers AS (SELECT {ID}, [Actual_Internal_Temp_C - Internal_Set_Point_C, {SEAL},
+        ({AMBIENT} - 32e0) * 125e-3, CASE WHEN {CARGO} = 'Dairy' THEN 1e0 ELSE 0e0 END, {WATTS} * 1e-3] AS x FROM telemetry),
+    nodes(tree, node, input, threshold, lower, upper, value, weight) AS (VALUES {", ".join(f"({', '.join(map(str, r))})" for r in _NODE_ROWS)}),
+    walk AS (SELECT {ID}, x, tree, 0 AS node FROM numbers, (SELECT DISTINCT tree FROM nodes)
+        UNION ALL SELECT {ID}, x, w.tree, CASE WHEN x[input + 1] <= CAST(threshold AS DOUBLE) THEN lower ELSE upper END
+        FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node WHERE input >= 0),
+    sums AS (SELECT {ID}, sum(CAST(value AS DOUBLE) * weight) + 5e-1 AS s FROM walk w JOIN nodes n ON w.tree = n.tree AND w.node = n.node
+        WHERE input < 0 GROUP BY {ID})
+    SELECT {ID}, {r6('s')} AS coded, {r6('s')} AS walked FROM sums"""
+
 CHECKS = {
+    "node_scores": _NODE_WALK,
     "score_or_quarantine": _HELD,
     "stream_or_quarantine": _HELD,
     "class_probabilities": views("scored") + f" SELECT {ID}, {', '.join(f'{_P[c]} AS {n}' for c, n in _NAMES.items())} FROM scored",

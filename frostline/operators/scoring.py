@@ -7,20 +7,27 @@ from pyspark.sql import DataFrame, functions as F
 from frostline.functions import decisions
 from frostline.functions.numeric import clip
 from frostline.operators.contracts import quarantined_rows, validate_ranges
+from frostline.operators.trees import Forest, linked, raw_scores
 from frostline.schema import CLASSES, PREDICTED_RISK, PROBABILITIES, probability
 
 MODEL_NAME = "model"
 
 
-def predict_risk(df: DataFrame, model: PipelineModel, output: str = PREDICTED_RISK) -> DataFrame:
+def predict_risk(df: DataFrame, model: PipelineModel | Forest, output: str = PREDICTED_RISK) -> DataFrame:
     """Regression prediction held in 0..100; the model's working columns are dropped."""
-    predicted = model.transform(df)
+    if isinstance(model, Forest):
+        predicted = raw_scores(df, model, "prediction").withColumn("prediction", F.get("prediction", F.lit(0)))
+    else:
+        predicted = model.transform(df)
     return predicted.select(*df.columns, clip("prediction", 0, 100).alias(output))
 
 
-def add_probabilities(df: DataFrame, model: PipelineModel, classes: list[str] = CLASSES) -> DataFrame:
+def add_probabilities(df: DataFrame, model: PipelineModel | Forest, classes: list[str] = CLASSES) -> DataFrame:
     """One probability column per class of a fitted classifier."""
-    scored = model.transform(df).withColumn("_p", vector_to_array("probability"))
+    if isinstance(model, Forest):
+        scored = raw_scores(df, model, "_s").withColumn("_p", linked(F.col("_s"), model.link))
+    else:
+        scored = model.transform(df).withColumn("_p", vector_to_array("probability"))
     return scored.select(*df.columns, *[F.col("_p")[i].alias(probability(c)) for i, c in enumerate(classes)])
 
 
@@ -62,13 +69,13 @@ def decide(df: DataFrame, threshold: float, classes: list[str] = CLASSES, model_
     }).drop(*[probability(c) for c in classes])
 
 
-def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel | None = None,
-                    classifier: PipelineModel | None = None, classes: list[str] = CLASSES,
+def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel | Forest | None = None,
+                    classifier: PipelineModel | Forest | None = None, classes: list[str] = CLASSES,
                     model_name: str = MODEL_NAME) -> DataFrame:
     """Validate, predict risk, predict probabilities and decide: one stage without a shuffle.
 
-    Without models the risk and probability columns must already be there. Rows outside
-    the allowed ranges are left out; `score_or_quarantine` gives them back as well.
+    Models are fitted pipelines or node tables. Without them the risk and probability columns must already be
+    there. Rows outside the allowed ranges are left out; `score_or_quarantine` gives them back as well.
     """
     rows = df.where(decisions.in_ranges())
     if risk_model is not None:
@@ -78,8 +85,8 @@ def score_shipments(df: DataFrame, threshold: float, risk_model: PipelineModel |
     return decide(rows, threshold, classes, model_name)
 
 
-def score_or_quarantine(df: DataFrame, threshold: float, risk_model: PipelineModel | None = None,
-                        classifier: PipelineModel | None = None, classes: list[str] = CLASSES,
+def score_or_quarantine(df: DataFrame, threshold: float, risk_model: PipelineModel | Forest | None = None,
+                        classifier: PipelineModel | Forest | None = None, classes: list[str] = CLASSES,
                         model_name: str = MODEL_NAME) -> tuple[DataFrame, DataFrame]:
     """Decided rows, and the rows that can't be scored with the names of the offending columns: every row is in one of them."""
     scored = score_shipments(df, threshold, risk_model, classifier, classes, model_name)
