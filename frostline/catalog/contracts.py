@@ -89,7 +89,9 @@ def _save_load_model(spark, sf_dir):
     model = fit_regressor(rows, legacy_regressors()["linear"])
     save_model(spark, path, {"model": "linear", "inputs": INPUTS}, risk=model)
     models, metadata = load_model(spark, path)
-    return predict_risk(rows.select(metadata["inputs"] + [ID]), models["risk"]).select(ID, PREDICTED_RISK)
+    again = predict_risk(rows.select(metadata["inputs"] + [ID]), models["risk"]).withColumnRenamed(PREDICTED_RISK, "_again")
+    both = again.join(predict_risk(rows, model).select(ID, PREDICTED_RISK), ID)
+    return both.select(ID, F.col("_again").eqNullSafe(F.col(PREDICTED_RISK)).alias("same"), F.lit(metadata["model"]).alias("model"))
 
 
 _CANDIDATES = [*NUMERIC[:-1], *STAGED]
@@ -153,6 +155,7 @@ def _bad(c, lo, hi):
 
 
 CHECKS = {
+    "save_load_model": sql.views() + f" SELECT {ID}, true AS same, 'linear' AS model FROM telemetry",
     "read_telemetry": views() + f" SELECT {_COLUMNS} FROM telemetry",
     "require_columns": views() + f" SELECT {CARGO}, count(*) AS readings FROM telemetry GROUP BY {CARGO}",
     "missing_columns": views("faulty") + " " + " UNION ALL ".join(

@@ -1,7 +1,7 @@
 """Profiles and statistics."""
 
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from frostline.catalog.sql import ACTION, CARGO, ID, NUMERIC, RISK, SAFE, WARNING, by_feature, r6, views
 from frostline.fixtures import faulty, telemetry
@@ -63,6 +63,12 @@ def _eda_summary(spark, sf_dir):
     return ops.eda_summary(information, ops.pearson_matrix(rows, NUMERIC, 6))
 
 
+def _forest(spark, sf_dir):
+    """Every column's share of the impurity: none is negative, and all add up to one."""
+    made = forest_importance(_rows(spark, sf_dir), NUMERIC).withColumn("total", F.sum("importance").over(Window.partitionBy()))
+    return made.select("feature", (F.col("importance") >= 0).alias("positive"), (F.abs(F.col("total") - 1.0) < 1e-9).alias("whole"))
+
+
 QUERIES = {
     "dataset_overview": lambda s, d: ops.dataset_overview(faulty(s, d)),
     "duplicate_count": lambda s, d: ops.duplicate_count(_repeated(s, d)),
@@ -87,7 +93,7 @@ QUERIES = {
         ops.boxplot_stats(_rows(s, d)), ["q1", "median", "q3", "whisker_low", "whisker_high"], ["feature", "fliers"]),
     "mutual_information": _information,
     "mutual_information_risk": _information_risk,
-    "forest_importance": lambda s, d: forest_importance(_rows(s, d), NUMERIC),
+    "forest_importance": _forest,
     "eda_summary": _eda_summary,
 }
 
@@ -147,6 +153,7 @@ _TOP = """best AS (SELECT feature_1, feature_2, abs(correlation) AS strength,
     top AS (SELECT * FROM best WHERE place = 1 ORDER BY strength DESC, i, j LIMIT 10)"""
 
 CHECKS = {
+    "forest_importance": f"SELECT unnest({NUMERIC!r}) AS feature, true AS positive, true AS whole",
     "dataset_overview": views("faulty") + f""", nulls AS ({_NULLS}), types(col, kind) AS (VALUES {", ".join(
         f"('{c}', '{'string' if c in (ID, CARGO, ACTION) else 'double'}')" for c in _FAULTY)})
         SELECT 'rows' AS metric, '' AS "column", CAST(count(*) AS VARCHAR) AS value FROM faulty

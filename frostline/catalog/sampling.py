@@ -42,13 +42,16 @@ def _strata(source: str, output: str) -> str:
 
 _REST = "rest AS (SELECT * EXCLUDE (split, stratum) FROM outer_split WHERE split = 'rest')"
 
+#: Up to the tables `inner_split` (train, validation) and `outer_split` (rest, test).
+REGRESSION_SPLIT = views() + f""", {_strata('telemetry', 'marked')},
+        {split_of('marked', 'outer_split', 'stratum', {'rest': 0.85, 'test': 0.15})}, {_REST}, {_strata('rest', 'again')},
+        {split_of('again', 'inner_split', 'stratum', {'train': 1 - 0.15 / 0.85, 'validation': 0.15 / 0.85}, 43)}"""
+
 CHECKS = {
     "stratified_split": views() + f", {split_of('telemetry', 'parts', ACTION, _HOLDOUT)} SELECT {ID}, split FROM parts",
     "three_way_split": views() + f", {split_of('telemetry', 'parts', ACTION, SHARES)} SELECT {ID}, split FROM parts",
     "quantile_strata": views() + f", {_strata('telemetry', 'marked')} SELECT {ID}, stratum FROM marked",
-    "regression_split": views() + f""", {_strata('telemetry', 'marked')},
-        {split_of('marked', 'outer_split', 'stratum', {'rest': 0.85, 'test': 0.15})}, {_REST}, {_strata('rest', 'again')},
-        {split_of('again', 'inner_split', 'stratum', {'train': 1 - 0.15 / 0.85, 'validation': 0.15 / 0.85}, 43)}
+    "regression_split": REGRESSION_SPLIT + f"""
         SELECT {ID}, split FROM inner_split UNION ALL SELECT {ID}, split FROM outer_split WHERE split = 'test'""",
     "sample_n": views() + f""", safe AS (SELECT * FROM telemetry WHERE {ACTION} = '{SAFE}'), {numbered('safe', 'placed')}
         SELECT {ID} FROM placed WHERE row_no < (SELECT count(*) // 2 FROM safe)""",

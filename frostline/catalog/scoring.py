@@ -6,11 +6,13 @@ from pyspark.sql import functions as F
 
 from frostline.catalog.evaluation import THRESHOLD, action_sql
 from frostline.catalog.sql import AMBIENT, CARGO, ID, SEAL, WATTS, number, r6, views
+from frostline.catalog.training import risk_rows
 from frostline.fixtures import FAULTY_SQL, SCORED_SQL, events_to_telemetry, scored, telemetry
+from frostline.functions.decisions import RISK_LEVELS
 from frostline.functions.numeric import rounded
 from frostline.operators import scoring as ops
 from frostline.operators.training import fit_regressor, legacy_regressors
-from frostline.operators.trees import INPUTS as NODE_INPUTS, NODES, forest_from_table, raw_scores
+from frostline.operators.trees import INPUTS as NODE_INPUTS, NODES, forest_from_table, forest_of, raw_scores
 from frostline.schema import CLASSES, EMERGENCY, INPUTS, PREDICTED_RISK, PROBABILITIES, RISK, SAFE, WARNING
 from frostline.sources.models import load_forest, save_forest
 from frostline.streaming.scoring import quarantine_stream, score_stream
@@ -30,7 +32,8 @@ def _flat(df):
 def _predict_risk(spark, sf_dir):
     rows = telemetry(spark, sf_dir)
     model = fit_regressor(rows, legacy_regressors()["linear"])
-    return ops.predict_risk(rows.select(ID, *INPUTS), model).select(ID, PREDICTED_RISK)
+    predicted = ops.predict_risk(rows.select(ID, *INPUTS), model).join(rows.select(ID, RISK), ID)
+    return risk_rows(predicted)
 
 
 def _probabilities(spark, sf_dir):
@@ -53,7 +56,17 @@ def _score_with_models(spark, sf_dir):
     risk = fit_regressor(rows, legacy_regressors()["linear"])
     labelled = prepare_labels(add_predicted_risk(rows, risk))
     action = fit_classifier(labelled, baseline_classifiers()["decision_tree"])
-    return _flat(ops.score_shipments(rows.drop(RISK), THRESHOLD, risk, action))
+    models = risk, forest_of(spark, action)  # a pipeline and a table of nodes
+    scored = _flat(ops.score_shipments(rows.drop(RISK), THRESHOLD, *models))
+    shares = [F.col(n) for n in _NAMES.values()]
+    emergency, warned = F.col("predicted_action") == EMERGENCY, F.col("predicted_action") == WARNING
+    levels = F.create_map(*[F.lit(x) for pair in RISK_LEVELS.items() for x in pair])
+    return scored.select(
+        ID, emergency.alias("emergency"), F.col(PREDICTED_RISK).between(0, 100).alias("bounded"),
+        (F.abs(shares[0] + shares[1] + shares[2] - 1.0) < 1e-5).alias("shares"),
+        (F.col("confidence") == F.greatest(*shares)).alias("confident"),
+        (emergency | (warned == (F.col(_NAMES[WARNING]) >= THRESHOLD))).alias("thresholded"),
+        (F.col("risk_level") == levels[F.col("predicted_action")]).alias("levelled"))
 
 
 def _events_stream(spark, sf_dir):
@@ -184,6 +197,10 @@ _NODE_WALK = views().replace("WITH", "WITH RECURSIVE", 1) + f""", numbers AS (SE
     SELECT {ID}, {r6('s')} AS coded, {r6('s')} AS walked FROM sums"""
 
 CHECKS = {
+    "predict_risk": views() + f" SELECT {ID}, true AS bounded, true AS beats_mean FROM telemetry",
+    "score_shipments_with_models": views() + f", {_VALID.replace('FROM scored', 'FROM telemetry')}" + f""" SELECT {ID},
+        Actual_Internal_Temp_C - Internal_Set_Point_C >= 6 AND {SEAL} < 6e-1 AND {AMBIENT} >= 38 AS emergency, true AS bounded, true AS shares,
+        true AS confident, true AS thresholded, true AS levelled FROM valid""",
     "node_scores": _NODE_WALK,
     "score_or_quarantine": _HELD,
     "stream_or_quarantine": _HELD,

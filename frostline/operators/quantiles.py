@@ -115,9 +115,8 @@ def _located(df: DataFrame, columns: list[str], probs: list[float], by: list[str
     """
     keys = [*by, "feature"]
     keyed = with_sort_key(_long(df, columns, by))
-    ranks = F.array(*[
-        F.struct(F.lit(2 * i + side).alias("at"), part((F.col("total") - 1) * F.lit(float(p))).alias("rank"))
-        for i, p in enumerate(probs) for side, part in enumerate((F.floor, F.ceil))])
+    places = [f"named_struct('at', {2 * i + side}, 'rank', {part}((total - 1) * {p!r}D))" for i, p in enumerate(probs) for side, part in enumerate(("floor", "ceil"))]
+    ranks = F.expr(f"array({', '.join(places)})")
     cells = _counted(keyed.withColumn("cell", F.shiftright("key", SHIFTS[0])), keys)
     cells = cells.withColumn("total", F.sum("n").over(Window.partitionBy(*keys))).withColumn("ranks", _holding(ranks))
     found, known, shift = None, [], SHIFTS[0]

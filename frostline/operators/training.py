@@ -1,4 +1,4 @@
-"""Fitting regressors and action classifiers with MLlib."""
+"""Fitting regressors and action classifiers: MLlib's learners and boosting of this library."""
 
 import itertools
 import random
@@ -19,12 +19,14 @@ from pyspark.sql import DataFrame, functions as F
 
 from frostline.functions import features as feature_functions
 from frostline.functions.features import CLASSIFICATION, REGRESSION
-from frostline.operators.encoding import label_encode
+from frostline.operators.boosting import Boosting, boosted_classes, boosted_numbers
+from frostline.operators.encoding import fit_labels, label_encode
 from frostline.operators.evaluation import (
     balanced_weights, confusion_counts, holdout_metrics, interval_half_width, regression_metrics, weighted_metrics,
 )
 from frostline.operators.sampling import stratified_split
 from frostline.operators.scoring import predict_risk
+from frostline.operators.trees import Forest, Input, raw_scores
 from frostline.schema import ACTION, CARGO, CLASSES, ID, INPUTS, PREDICTED_RISK, RISK, SENSORS
 from frostline.workspace import enable_checkpoints
 
@@ -118,13 +120,17 @@ def _learner(cls, seed: int, **params):
     return cls(seed=seed, checkpointInterval=10, **params)
 
 
-# Fixed values below: the learners' settings. Depth 30, MLlib's deepest, stands for "no limit". Boosters with 31 leaves become depth 5.
+# Fixed values below: the learners' settings. Depth 30, MLlib's deepest, stands for "no limit".
 
-def regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator]:
+#: What a search or a run can fit: MLlib's learners, or settings of leaf-wise boosting.
+Learner = Estimator | Boosting
+Model = PipelineModel | Forest
+
+
+def regressors(seed: int = 42, share: float = 1.0) -> dict[str, Learner]:
     """Candidates of the regression run; `share` shrinks the number of trees for trials."""
     return {
-        "boosted_leafwise": _learner(GBTRegressor, seed, maxIter=_trees(700, share), stepSize=0.03, maxDepth=5,
-                                     subsamplingRate=0.8, featureSubsetStrategy="0.9", labelCol=RISK),
+        "boosted_leafwise": Boosting(rounds=_trees(700, share), learning_rate=0.03, leaves=31, subsample=0.8, columns=0.9, seed=seed),
         "boosted_depthwise": _learner(GBTRegressor, seed, maxIter=_trees(500, share), stepSize=0.03, maxDepth=5,
                                       subsamplingRate=0.8, featureSubsetStrategy="0.9", labelCol=RISK),
         "random_forest": _learner(RandomForestRegressor, seed, numTrees=_trees(400, share), maxDepth=16,
@@ -132,7 +138,7 @@ def regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator]:
     }
 
 
-def legacy_regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator]:
+def legacy_regressors(seed: int = 42, share: float = 1.0) -> dict[str, Learner]:
     """The older single-model settings."""
     return {
         "linear": LinearRegression(labelCol=RISK),
@@ -140,22 +146,18 @@ def legacy_regressors(seed: int = 42, share: float = 1.0) -> dict[str, Estimator
                                   minInstancesPerNode=4, featureSubsetStrategy="all", labelCol=RISK),
         "boosted_depthwise": _learner(GBTRegressor, seed, maxIter=_trees(300, share), stepSize=0.03, maxDepth=4,
                                       subsamplingRate=0.7, labelCol=RISK),
-        "boosted_leafwise": _learner(GBTRegressor, seed, maxIter=_trees(700, share), stepSize=0.01, maxDepth=5,
-                                     subsamplingRate=0.8, labelCol=RISK),
+        "boosted_leafwise": Boosting(rounds=_trees(700, share), learning_rate=0.01, leaves=31, subsample=0.8, columns=1.0, seed=seed),
     }
 
 
-def risk_regressor(seed: int = 42, share: float = 1.0) -> Estimator:
-    return _learner(GBTRegressor, seed, maxIter=_trees(500, share), stepSize=0.03, maxDepth=5, subsamplingRate=0.8,
-                    featureSubsetStrategy="0.9", labelCol=RISK)
+def risk_regressor(seed: int = 42, share: float = 1.0) -> Learner:
+    return Boosting(rounds=_trees(500, share), learning_rate=0.03, leaves=31, subsample=0.8, columns=0.9, seed=seed)
 
 
-def classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Callable[..., Estimator]]:
+def classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Callable[..., Learner]]:
     """Candidates of the classification run as builders, so that a search can change their settings."""
     def boosted(**changes):
-        settings = {"maxIter": _trees(500, share), "stepSize": 0.03, "maxDepth": 5, "subsamplingRate": 0.8,
-                    "featureSubsetStrategy": "0.9", "weightCol": "weight", "seed": seed, "checkpointInterval": 10}
-        return BoostedOneVsRest(**{**settings, **changes})
+        return Boosting(rounds=_trees(500, share), learning_rate=0.03, leaves=31, subsample=0.8, columns=0.9, seed=seed).copy(**changes)
 
     def forest(bootstrap):
         def build(**changes):
@@ -179,8 +181,8 @@ def baseline_classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Estima
 
 
 CLASSIFIER_GRIDS = {
-    "boosted": {"maxIter": [300, 500, 700], "stepSize": [0.03, 0.05, 0.08], "maxDepth": [5, 6, 7],
-                "subsamplingRate": [0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.8", "0.9", "all"]},
+    "boosted": {"rounds": [300, 500, 700], "learning_rate": [0.03, 0.05, 0.08], "leaves": [31, 50, 80],
+                "subsample": [0.8, 0.9, 1.0], "columns": [0.8, 0.9, 1.0]},
     "random_forest": {"numTrees": [300, 400, 500], "maxDepth": [10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4]},
     "forest_no_bootstrap": {"numTrees": [300, 400, 500], "maxDepth": [10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4]},
 }
@@ -190,14 +192,14 @@ REGRESSOR_GRIDS = {
     "random_forest": {"numTrees": [200, 300, 500, 700], "maxDepth": [8, 10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4]},
     "boosted_depthwise": {"maxIter": [300, 500, 700], "stepSize": [0.01, 0.03, 0.05, 0.1], "maxDepth": [4, 6, 8, 10],
                           "subsamplingRate": [0.7, 0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.7", "0.8", "0.9", "all"]},
-    "boosted_leafwise": {"maxIter": [300, 500, 700], "stepSize": [0.01, 0.03, 0.05, 0.1], "maxDepth": [5, 6, 7],
-                         "subsamplingRate": [0.7, 0.8, 0.9, 1.0], "featureSubsetStrategy": ["0.7", "0.8", "0.9", "all"]},
+    "boosted_leafwise": {"rounds": [300, 500, 700], "learning_rate": [0.01, 0.03, 0.05, 0.1], "leaves": [31, 50, 80, 120],
+                         "subsample": [0.7, 0.8, 0.9, 1.0], "columns": [0.7, 0.8, 0.9, 1.0]},
 }
 
 
 def shrink_grid(grid: dict[str, list], share: float) -> dict[str, list]:
     """The grid with fewer trees, for trials."""
-    return {k: [_trees(v, share) for v in vs] if k in ("numTrees", "maxIter") else vs for k, vs in grid.items()}
+    return {k: [_trees(v, share) for v in vs] if k in ("numTrees", "maxIter", "rounds") else vs for k, vs in grid.items()}
 
 
 def prepare_labels(df: DataFrame, classes: list[str] = CLASSES) -> DataFrame:
@@ -211,22 +213,41 @@ def fit(estimator: Estimator, df: DataFrame, columns: list[str], feature_set: st
     return make_pipeline(estimator, columns, feature_set).fit(df)
 
 
-def fit_regressor(df: DataFrame, estimator: Estimator) -> PipelineModel:
-    return fit(estimator, df.select(*INPUTS, RISK), REGRESSION_COLUMNS, "regression")
+def changed(learner: Learner, settings: dict) -> Learner:
+    """The learner with other settings."""
+    return learner.copy(**settings) if isinstance(learner, Boosting) else learner.copy({learner.getParam(k): v for k, v in settings.items()})
+
+
+def _inputs(df: DataFrame, columns: list[str]) -> list[Input]:
+    """Numbers as they are, and one input for each cargo of the rows."""
+    return [Input(c) for c in columns] + [Input(CARGO, label) for label in fit_labels(df, CARGO) or []]
+
 
+def fit_regressor(df: DataFrame, learner: Learner) -> Model:
+    rows = df.select(*INPUTS, RISK)
+    if isinstance(learner, Boosting):
+        return boosted_numbers(rows, _inputs(rows, REGRESSION_COLUMNS), RISK, learner, "regression")[0]
+    return fit(learner, rows, REGRESSION_COLUMNS, "regression")
 
-def fit_classifier(df: DataFrame, estimator: Estimator) -> PipelineModel:
+
+def fit_classifier(df: DataFrame, learner: Learner) -> Model:
     """Needs `Predicted_Spoilage_Risk_Pct`, `label` and `weight`; the true risk is not passed on."""
-    return fit(estimator, df.select(*INPUTS, PREDICTED_RISK, "label", "weight"), CLASSIFICATION_COLUMNS, "classification")
+    rows = df.select(*INPUTS, PREDICTED_RISK, "label", "weight")
+    if isinstance(learner, Boosting):
+        return boosted_classes(rows, _inputs(rows, CLASSIFICATION_COLUMNS), "label", len(CLASSES), learner, "weight", "classification")[0]
+    return fit(learner, rows, CLASSIFICATION_COLUMNS, "classification")
 
 
-def predict_label(df: DataFrame, model: PipelineModel, classes: list[str] = CLASSES) -> DataFrame:
+def predict_label(df: DataFrame, model: Model, classes: list[str] = CLASSES) -> DataFrame:
     """Add the most probable class as `Predicted_Class`."""
-    scored = model.transform(df)
+    if isinstance(model, Forest):
+        scored = raw_scores(df, model, "_s").withColumn("prediction", F.array_position("_s", F.array_max("_s")) - 1)
+    else:
+        scored = model.transform(df)
     return scored.select(*df.columns, F.get(F.lit(classes), F.col("prediction").cast("int")).alias("Predicted_Class"))
 
 
-def add_predicted_risk(df: DataFrame, model: PipelineModel) -> DataFrame:
+def add_predicted_risk(df: DataFrame, model: Model) -> DataFrame:
     """Risk predicted from operating inputs only, as a classifier feature."""
     return predict_risk(df, model)
 
@@ -255,8 +276,8 @@ def draw_settings(grid: dict[str, list], n: int, seed: int) -> list[dict]:
     return [dict(zip(names, values)) for values in chosen]
 
 
-def random_search(df: DataFrame, fit_one: Callable[[dict, DataFrame], PipelineModel],
-                  score: Callable[[PipelineModel, DataFrame], float], grid: dict[str, list], by: str,
+def random_search(df: DataFrame, fit_one: Callable[[dict, DataFrame], Model],
+                  score: Callable[[Model, DataFrame], float], grid: dict[str, list], by: str,
                   n_iter: int = 20, folds: int = 3, seed: int = 42, key: str = ID,
                   parallelism: int = 2) -> tuple[dict, list[dict]]:
     """Mean cross-validated score of randomly drawn settings; best first.
@@ -297,17 +318,12 @@ def search_regressor(df: DataFrame, name: str, strata: str, n_iter: int = 20, fo
                      share: float = 1.0, parallelism: int = 2) -> tuple[dict, list[dict]]:
     """Random search of one regressor on R2; folds keep the shares of the `strata` column."""
     base = regressors(seed, share)[name]
-
-    def fit_one(settings, part):
-        changed = base.copy({base.getParam(k): v for k, v in settings.items()})
-        return fit_regressor(part, changed)
-
     return random_search(
-        df, fit_one, lambda m, part: r2(predict_risk(part, m)), shrink_grid(REGRESSOR_GRIDS[name], share), strata,
+        df, lambda s, part: fit_regressor(part, changed(base, s)), lambda m, part: r2(predict_risk(part, m)), shrink_grid(REGRESSOR_GRIDS[name], share), strata,
         n_iter, folds, seed, parallelism=parallelism)
 
 
-def select_best_regressor(models: dict[str, PipelineModel], validation: DataFrame) -> tuple[str, list[dict]]:
+def select_best_regressor(models: dict[str, Model], validation: DataFrame) -> tuple[str, list[dict]]:
     """Validation metrics of every model, lowest RMSE first."""
     rows = []
     for name, model in models.items():
@@ -317,13 +333,13 @@ def select_best_regressor(models: dict[str, PipelineModel], validation: DataFram
     return rows[0]["Model"], rows
 
 
-def refit_production(estimator: Estimator, train: DataFrame, validation: DataFrame) -> PipelineModel:
+def refit_production(estimator: Learner, train: DataFrame, validation: DataFrame) -> Model:
     """Fit the chosen regressor on training and validation rows together."""
     columns = [*INPUTS, RISK]
     return fit_regressor(train.select(columns).unionByName(validation.select(columns)), estimator)
 
 
-def half_width_of(model: PipelineModel, validation: DataFrame, q: float = 0.90) -> float:
+def half_width_of(model: Model, validation: DataFrame, q: float = 0.90) -> float:
     return interval_half_width(predict_risk(validation, model), q=q).first()["half_width"]
 
 

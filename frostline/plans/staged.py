@@ -10,7 +10,7 @@ from frostline.functions.features import STAGED, features_staged
 from frostline.operators.contracts import apply_feature_selection, class_counts, filter_class, require_columns, require_finite
 from frostline.operators.encoding import fit_labels, label_encode
 from frostline.operators.evaluation import (
-    classification_report, comparison_summary, confusion_counts, model_leaderboard, weighted_metrics,
+    best_model, classification_report, comparison_summary, confusion_counts, confusion_matrix, model_leaderboard, weighted_metrics,
 )
 from frostline.operators.profiling import (
     class_distribution, class_mean_comparison, classwise_statistics, dataset_overview, eda_summary, iqr_outliers,
@@ -20,7 +20,7 @@ from frostline.operators.sampling import sample_with_replacement, split_report,
 from frostline.operators.selection import consensus_select, correlation_filter, require_selection, selection_report, vif_scores
 from frostline.operators.synthesis import balance_classes, next_ids, scenario_bands
 from frostline.operators.training import (
-    STAGED_GRID, baseline_classifiers, forest_importance, predict_label, prepare_labels, random_search,
+    STAGED_GRID, baseline_classifiers, changed, forest_importance, predict_label, prepare_labels, random_search,
     shrink_grid, weighted_f1,
 )
 from frostline.plans.classification import SHARES, TARGETS
@@ -94,22 +94,19 @@ def run_staged(df: DataFrame, out: str, seed: int = 42, targets: Mapping[str, in
     def fit_selected(estimator, rows):
         return fit_numbers(estimator, rows, names)
 
-    runs = {"Baseline": {}, "Tuned": {}}
+    runs, tried = {"Baseline": {}, "Tuned": {}}, []
     try:
         learners = baseline_classifiers(seed, share)
         for name, learner in learners.items():
             runs["Baseline"][name] = fit_selected(learner, labelled)
         for name in tuned:
             learner = learners[name]
-
-            def changed(settings, learner=learner):
-                return learner.copy({learner.getParam(k): v for k, v in settings.items()})
-
-            best, _ = random_search(
-                labelled, lambda s, part: fit_selected(changed(s), part),
+            best, ranked = random_search(
+                labelled, lambda s, part, learner=learner: fit_selected(changed(learner, s), part),
                 lambda m, part: weighted_f1(predict_label(part, m)), shrink_grid(STAGED_GRID, share), ACTION,
                 n_iter, folds, seed, parallelism=parallelism)
-            runs["Tuned"][name] = fit_selected(changed(best), labelled)
+            tried += [(name, i + 1, str(r["settings"]), float(r["score"])) for i, r in enumerate(ranked)]
+            runs["Tuned"][name] = fit_selected(changed(learner, best), labelled)
     finally:
         labelled.unpersist()
 
@@ -123,11 +120,14 @@ def run_staged(df: DataFrame, out: str, seed: int = 42, targets: Mapping[str, in
     board = model_leaderboard(scored(runs["Baseline"]), scored(runs["Tuned"]))
     write_report(board, f"{out}/comparison/leaderboard")
     write_report(comparison_summary(board), f"{out}/comparison/summary")
+    write_report(best_model(board), f"{out}/comparison/recommendation")
+    write_report(spark.createDataFrame(tried, "Model string, rank int, settings string, weighted_f1 double"), f"{out}/search")
     winner = board.where(F.col("Rank") == 1).first()
     model = runs[winner["Category"]][winner["Model"]]
     tested = predict_label(tables["test"], model)
     cells = confusion_counts(tested)
     write_table(tested, f"{out}/evaluation/test_predictions")
+    write_report(confusion_matrix(cells), f"{out}/evaluation/confusion_matrix")
     write_report(classification_report(cells), f"{out}/evaluation/classification_report")
     save_model(spark, f"{out}/model", {"model": winner["Model"], "category": winner["Category"], "features": names,
                                        "classes": CLASSES}, action=model)

@@ -42,7 +42,7 @@ def test_regression_nodes_equal_the_model(spark, readings, name, code_nodes):
 
 @pytest.mark.parametrize("make", [
     lambda: training.baseline_classifiers()["decision_tree"], lambda: training.classifiers(share=0.01)["random_forest"](),
-    lambda: training.classifiers(share=0.004)["boosted"]()])
+    lambda: training.BoostedOneVsRest(maxIter=2, stepSize=0.03, maxDepth=5, weightCol="weight", seed=42)])
 def test_class_nodes_equal_the_model(spark, labelled, make):
     model = training.fit_classifier(labelled, make())
     forest = forest_of(spark, model)
