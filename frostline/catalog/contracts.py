@@ -19,6 +19,7 @@ from frostline.schema import (
 )
 from frostline.sources.models import load_model, save_model
 from frostline.sources.tables import load_feature_list, read_telemetry, write_report, write_table
+from frostline.sources.versions import read_version, upsert_version, versions
 from frostline.workspace import fresh_path
 from frostline.catalog.features import STAGED_SQL
 from frostline.catalog import sql
@@ -68,11 +69,14 @@ def _regression_runs(df, models, part):
     return regression_metrics(rows, by=["Model"]).select("Model", *[rounded(c).alias(c) for c in ("MAE", "MSE", "RMSE", "R2")])
 
 
-def _upsert_leaderboard(spark, sf_dir):
+def _boards(spark, sf_dir):
     df = scored(spark, sf_dir)
-    old = _regression_runs(df, ["Surrogate", "Shifted"], F.col(CARGO) == "Frozen Food")
-    new = _regression_runs(df, ["Shifted", "Damped"], F.col(CARGO) != "Frozen Food")
-    return upsert_leaderboard(old, new)
+    return (_regression_runs(df, ["Surrogate", "Shifted"], F.col(CARGO) == "Frozen Food"),
+            _regression_runs(df, ["Shifted", "Damped"], F.col(CARGO) != "Frozen Food"))
+
+
+def _upsert_leaderboard(spark, sf_dir):
+    return upsert_leaderboard(*_boards(spark, sf_dir))
 
 
 def _runs_sql(models, part):
@@ -94,6 +98,15 @@ def _save_load_model(spark, sf_dir):
     return both.select(ID, F.col("_again").eqNullSafe(F.col(PREDICTED_RISK)).alias("same"), F.lit(metadata["model"]).alias("model"))
 
 
+def _leaderboard_versions(spark, sf_dir):
+    """The leaderboard upserted onto itself, twice; a write without its commit in between stays unseen."""
+    path = fresh_path(spark, "versions")
+    old, new = _boards(spark, sf_dir)
+    upsert_version(old, path)
+    new.write.parquet(f"{path}/data/broken")
+    return read_version(spark, path, upsert_version(new, path)).withColumn("version", F.lit(len(versions(spark, path))))
+
+
 _CANDIDATES = [*NUMERIC[:-1], *STAGED]
 
 
@@ -131,6 +144,7 @@ QUERIES = {
     "write_table": _write_table,
     "write_report": _write_report,
     "upsert_leaderboard": _upsert_leaderboard,
+    "leaderboard_versions": _leaderboard_versions,
     "save_load_model": _save_load_model,
     "load_feature_list": _load_feature_list,
     "drop_identifier": lambda s, d: ops.drop_identifier(telemetry(s, d).select(REQUIRED)),
@@ -149,6 +163,10 @@ _SPLIT = sql.split_of("telemetry", "parts", ACTION, SHARES)
 _EMERGENCY = f"({ACTUAL} - {SET_POINT} >= 6e0 AND {SEAL} < 6e-1 AND {AMBIENT} >= 38e0)"
 
 
+_UPSERTED = views("scored") + f""", new AS ({_runs_sql(["Shifted", "Damped"], f"{CARGO} <> 'Frozen Food'")}),
+    old AS ({_runs_sql(["Surrogate", "Shifted"], f"{CARGO} = 'Frozen Food'")}) """
+
+
 def _bad(c, lo, hi):
     test = f"{c} IS NULL OR {c} < {lo}" + (f" OR {c} > {hi}" if hi else "")
     return f"CASE WHEN {test} THEN '{c}' END"
@@ -168,9 +186,9 @@ CHECKS = {
               UNION ALL SELECT 'original', {ACTION}, count(*) FROM parts GROUP BY ALL)
         SELECT split, CAST(sum(count) OVER (PARTITION BY split) AS BIGINT) AS rows, class, count,
                round_even(count / CAST(sum(count) OVER (PARTITION BY split) AS DOUBLE) * 100e0, 2) AS percentage FROM n""",
-    "upsert_leaderboard": views("scored") + f""", new AS ({_runs_sql(["Shifted", "Damped"], f"{CARGO} <> 'Frozen Food'")}),
-        old AS ({_runs_sql(["Surrogate", "Shifted"], f"{CARGO} = 'Frozen Food'")})
-        SELECT * FROM old WHERE Model NOT IN (SELECT Model FROM new) UNION ALL SELECT * FROM new""",
+    "upsert_leaderboard": _UPSERTED + "SELECT * FROM old WHERE Model NOT IN (SELECT Model FROM new) UNION ALL SELECT * FROM new",
+    "leaderboard_versions": _UPSERTED + """SELECT *, 2 AS version FROM old WHERE Model NOT IN (SELECT Model FROM new)
+        UNION ALL SELECT *, 2 FROM new""",
     "load_feature_list": views() + f""", staged AS ({STAGED_SQL}), dropped AS ({dropped_sql('staged', _CANDIDATES)})
         SELECT feature FROM (VALUES {", ".join(f"('{c}')" for c in _CANDIDATES)}) AS v(feature)
         WHERE feature NOT IN (SELECT feature FROM dropped)""",

@@ -69,7 +69,17 @@ def _forest(spark, sf_dir):
     return made.select("feature", (F.col("importance") >= 0).alias("positive"), (F.abs(F.col("total") - 1.0) < 1e-9).alias("whole"))
 
 
+def _density(spark, sf_dir):
+    return _round(ops.density_curve(_rows(spark, sf_dir), RISK, 50), ["value", "density"], ["point"])
+
+
+def _neighbours(spark, sf_dir):
+    return _round(ops.neighbour_information(_rows(spark, sf_dir), NUMERIC), ["mutual_information"], ["feature"])
+
+
 QUERIES = {
+    "density_curve": _density,
+    "neighbour_information": _neighbours,
     "dataset_overview": lambda s, d: ops.dataset_overview(faulty(s, d)),
     "duplicate_count": lambda s, d: ops.duplicate_count(_repeated(s, d)),
     "missing_values": lambda s, d: ops.missing_values(faulty(s, d)),
@@ -152,7 +162,40 @@ _TOP = """best AS (SELECT feature_1, feature_2, abs(correlation) AS strength,
     row_number() OVER (PARTITION BY abs(correlation) ORDER BY i, j) AS place, i, j FROM m),
     top AS (SELECT * FROM best WHERE place = 1 ORDER BY strength DESC, i, j LIMIT 10)"""
 
+def _digamma(x):
+    y, q = f"({x} + 6e0)", f"(1e0 / (({x} + 6e0) * ({x} + 6e0)))"
+    series = f"{q} * (1e0 / 12 - {q} * (1e0 / 120 - {q} * (1e0 / 252 - {q} * (1e0 / 240 - {q} / 132e0))))"
+    return f"(ln({y}) - 5e-1 / {y} - {series} - {' - '.join(f'1e0 / ({x} + {i}e0)' for i in range(6))})"
+
+
+def _neighbours_sql(c):
+    """One column: the k-th neighbour by rows before and after in its class, then the rows nearer than it."""
+    def radius(k):
+        sides = [f"greatest(x - {f'lag(x, {j}) OVER w' if j else 'x'}, {f'lead(x, {k - j}) OVER w' if j < k else 'x'} - x)" for j in range(k + 1)]
+        # a side that leaves the class is null and doesn't count
+        return "least(" + ", ".join(f"CASE WHEN {f'lag(x, {j}) OVER w' if j else 'x'} IS NOT NULL AND {f'lead(x, {k - j}) OVER w' if j < k else 'x'} IS NOT NULL THEN {s} END" for j, s in enumerate(sides)) + ")"
+    return f"""SELECT '{c}' AS feature, greatest(0e0, {_digamma('CAST(count(*) AS DOUBLE)')} + avg({_digamma('CAST(k AS DOUBLE)')}
+            - {_digamma('CAST(m AS DOUBLE)')} - {_digamma('CAST(near AS DOUBLE)')})) AS mi FROM (
+        WITH a AS (SELECT {ACTION} AS cls, {c} AS x, count(*) OVER (PARTITION BY {ACTION}) AS m FROM telemetry),
+        b AS (SELECT cls, x, m, least(3, m - 1) AS k FROM a WHERE m > 1),
+        r AS (SELECT x, m, k, (1e0 - 1e-9) * CASE k WHEN 3 THEN {radius(3)} WHEN 2 THEN {radius(2)} ELSE {radius(1)} END AS reach FROM b
+            WINDOW w AS (PARTITION BY cls ORDER BY x)),
+        v AS (SELECT x, count(*) AS n FROM b GROUP BY x),
+        s AS (SELECT DISTINCT x, reach FROM r),
+        g AS (SELECT s.x, s.reach, sum(v.n) AS near FROM s JOIN v ON v.x >= s.x - s.reach AND v.x <= s.x + s.reach GROUP BY s.x, s.reach)
+        SELECT k, m, near FROM r JOIN g USING (x, reach))"""
+
+
 CHECKS = {
+    "neighbour_information": views() + f" SELECT feature, {r6('mi')} AS mutual_information FROM ({' UNION ALL '.join(map(_neighbours_sql, NUMERIC))})",
+    "density_curve": views() + f""", k AS (SELECT CAST(count({RISK}) AS DOUBLE) AS n, stddev_samp({RISK}) * count({RISK}) ** (-0.2) AS h, min({RISK}) AS lo, max({RISK}) AS hi FROM telemetry),
+        g AS (SELECT n, h, lo - 3e0 * h AS a, (hi - lo + 6e0 * h) / 49e0 AS step FROM k),
+        p AS (SELECT ({RISK} - a) / step AS place FROM telemetry, g),
+        w AS (SELECT cell, sum(s) AS s FROM (SELECT CAST(floor(place) AS INT) AS cell, 1e0 - (place - floor(place)) AS s FROM p
+            UNION ALL SELECT CAST(floor(place) AS INT) + 1, place - floor(place) FROM p) GROUP BY cell)
+        SELECT CAST(i AS INTEGER) AS point, round(any_value(a + i * step), 6) + 0e0 AS value,
+            {r6('sum(s * exp(-5e-1 * ((i - cell) * step / h) ** 2)) / any_value(n * h * sqrt(2e0 * pi()))')} AS density
+        FROM (SELECT unnest(range(50)) AS i), g, w GROUP BY i""",
     "forest_importance": f"SELECT unnest({NUMERIC!r}) AS feature, true AS positive, true AS whole",
     "dataset_overview": views("faulty") + f""", nulls AS ({_NULLS}), types(col, kind) AS (VALUES {", ".join(
         f"('{c}', '{'string' if c in (ID, CARGO, ACTION) else 'double'}')" for c in _FAULTY)})

@@ -15,7 +15,7 @@ from frostline.operators.training import fit_regressor, legacy_regressors
 from frostline.operators.trees import INPUTS as NODE_INPUTS, NODES, forest_from_table, forest_of, raw_scores
 from frostline.schema import CLASSES, EMERGENCY, INPUTS, PREDICTED_RISK, PROBABILITIES, RISK, SAFE, WARNING
 from frostline.sources.models import load_forest, save_forest
-from frostline.streaming.scoring import quarantine_stream, score_stream
+from frostline.streaming.scoring import score_stream, score_stream_or_quarantine
 from frostline.workspace import fresh_path
 
 _NAMES = {EMERGENCY: "p_emergency", SAFE: "p_safe", WARNING: "p_warning"}
@@ -95,13 +95,10 @@ def _score_or_quarantine(spark, sf_dir):
 
 
 def _stream_or_quarantine(spark, sf_dir):
-    """The same from a stream with two sinks, read back."""
+    """The same from a stream read once into two sinks, read back."""
     sinks = fresh_path(spark, "faulty_scored"), fresh_path(spark, "faulty_held")
     stream = _faulty_scored(spark, _events_stream(spark, sf_dir))
-    queries = [score_stream(stream, THRESHOLD, sinks[0], fresh_path(spark, "progress")),
-               quarantine_stream(stream, sinks[1], fresh_path(spark, "progress"))]
-    for query in queries:
-        query.awaitTermination()
+    score_stream_or_quarantine(stream, THRESHOLD, *sinks, fresh_path(spark, "progress")).awaitTermination()
     return _decided_or_held(*[spark.read.parquet(sink) for sink in sinks])
 
 

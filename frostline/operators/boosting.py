@@ -153,7 +153,7 @@ def fit_edges(df: DataFrame, inputs: list[Input], feature_set: str, bins: int) -
     return edges
 
 
-def _binned(df: DataFrame, inputs: list[Input], feature_set: str, edges: list[list[float]], base: tuple[float, ...], target: Column,
+def binned(df: DataFrame, inputs: list[Input], feature_set: str, edges: list[list[float]], base: tuple[float, ...], target: Column,
             weight: Column, seed: int) -> DataFrame:
     """(bins, y, w, s, draw) of every row: how many edges lie below each input, target, weight, first scores and a draw."""
     numbers = Forest(inputs, *[np.zeros(1)] * 7, feature_set=feature_set).numbers()
@@ -361,7 +361,7 @@ def _boosted(df: DataFrame, inputs: list[Input], feature_set: str, settings: Boo
     """The model, and the trees of each round."""
     edges = fit_edges(df, inputs, feature_set, settings.bins)
     widths = [len(e) + 1 for e in edges]
-    held = _binned(df, inputs, feature_set, edges, base, target, weight, settings.seed)
+    held = binned(df, inputs, feature_set, edges, base, target, weight, settings.seed)
     state, rng = _State(held, settings.kept_rounds), np.random.default_rng(settings.seed)
     every, trees = [], []
     try:

@@ -1,6 +1,9 @@
 """Profiles of a table: counts, moments, quantiles, correlations, outliers, information."""
 
-from pyspark.sql import DataFrame, Window, functions as F
+import math
+
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from frostline.functions.numeric import edges_below, finite, half_even, rounded
 from frostline.operators.contracts import null_counts, stack_columns
@@ -283,6 +286,92 @@ def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:
         F.coalesce("n", F.lit(0)).alias("count"))
 
 
+def density_curve(df: DataFrame, column: str, points: int = 200, cut: float = 3.0) -> DataFrame:
+    """A smooth density (normal kernel, Scott's width) on equally spaced points, as (point, value, density).
+
+    One scan shares every reading between the two points around it; the kernel is summed over points, not readings. The
+    curve goes `cut` widths beyond the smallest and the largest value. No rows when all values are equal or missing.
+    """
+    value, schema = finite(column), "point int, value double, density double"
+    finite_value = F.when(F.abs(value) < float("inf"), value)
+    known = df.agg(F.count(finite_value).alias("n"), F.stddev(finite_value).alias("std"), F.min(finite_value).alias("lo"), F.max(finite_value).alias("hi")).first()
+    if not known["std"]:
+        return df.sparkSession.createDataFrame([], schema)
+    width = known["std"] * known["n"] ** -0.2
+    lowest = known["lo"] - cut * width
+    step = (known["hi"] + cut * width - lowest) / (points - 1)
+    place = (finite_value - F.lit(lowest)) / F.lit(step)
+    shared = df.select(place.alias("place")).where("place IS NOT NULL").select(F.floor("place").alias("at"), (F.col("place") - F.floor("place")).alias("part"))
+    held = np.zeros(points + 1)
+    for r in shared.groupBy("at").agg(F.sum(1.0 - F.col("part")).alias("here"), F.sum("part").alias("next")).collect():  # one row a point
+        held[r["at"]] += r["here"]
+        held[r["at"] + 1] += r["next"]
+    grid = lowest + step * np.arange(points)
+    kernel = np.exp(-0.5 * ((grid[:, None] - grid) / width) ** 2) / (known["n"] * width * math.sqrt(2.0 * math.pi))
+    rows = [(i, float(g), float(d)) for i, (g, d) in enumerate(zip(grid, kernel @ held[:points]))]
+    return df.sparkSession.createDataFrame(rows, schema)
+
+
+def digamma(x: Column) -> Column:
+    """The digamma function for x of 1 or more: six steps up, then its asymptotic series (error below 1e-10)."""
+    y = x + F.lit(6.0)
+    square = F.lit(1.0) / (y * y)
+    series = square * (F.lit(1 / 12) - square * (F.lit(1 / 120) - square * (F.lit(1 / 252) - square * (F.lit(1 / 240) - square * F.lit(1 / 132)))))
+    return F.ln(y) - F.lit(0.5) / y - series - sum((F.lit(1.0) / (x + F.lit(float(i))) for i in range(1, 6)), F.lit(1.0) / x)
+
+
+def neighbour_information(df: DataFrame, columns: list[str], target: str = ACTION, k: int = 3) -> DataFrame:
+    """Information (nats) between each column and a class from nearest neighbours, without bins.
+
+    For every reading the distance to its k-th neighbour of the same class is taken, and the readings of any class that
+    are nearer are counted; the mean digamma of those counts tells the information (Ross 2014). Classes of one reading
+    are left out, smaller ones than k + 1 look at all their others. Null, NaN and infinities are left out.
+
+    Equal readings are counted once. A value's neighbours are those up to k ranks away in its class; ranks and counts
+    below a number come from cells of values, so no class, however large, is put in order in one task.
+    """
+    numbers = df.select(F.col(target).cast("string").alias("class"), *[F.when(F.abs(finite(c)) < float("inf"), finite(c)).alias(c) for c in columns])
+    paths = [fresh_path(df.sparkSession, name) for name in ("values", "reach")]
+    value_counts(numbers.where(F.col("class").isNotNull()), columns, ["class"]).write.parquet(paths[0])
+    counts = df.sparkSession.read.parquet(paths[0])
+    sizes = counts.groupBy("class", "feature").agg(F.sum("n").alias("in_class")).where("in_class > 1")
+    counts = counts.join(sizes, ["class", "feature"])
+    ranks = running_counts(counts.select("class", "feature", "value", F.lit(1).cast("bigint").alias("n")), ["class"]).select(
+        "class", "feature", "value", F.col("before").alias("rank"))
+    ranked = counts.join(ranks, ["class", "feature", "value"])
+    near = ranked.select("class", "feature", "in_class", "value", "n", F.explode(F.sequence(F.col("rank") - k, F.col("rank") + k)).alias("rank"), F.col("rank").alias("own"))
+    around = near.groupBy("class", "feature", "rank").agg(
+        F.max(F.when(F.col("own") == F.col("rank"), F.struct("value", "n", "in_class"))).alias("me"),
+        F.collect_list(F.struct("value", "n")).alias("others")).where("me IS NOT NULL")  # at most 2k + 1
+    wanted = F.least(F.lit(k), F.col("me.in_class") - 1)
+    distances = F.array_sort(F.transform("others", lambda o: F.struct(
+        F.abs(o["value"] - F.col("me.value")).alias("far"), F.when(o["value"] == F.col("me.value"), o["n"] - 1).otherwise(o["n"]).alias("n"))))
+    start = F.struct(F.lit(0).cast("bigint").alias("seen"), F.lit(None).cast("double").alias("far"))
+    radius = F.aggregate(distances, start, lambda a, o: F.when(
+        a["seen"] >= wanted, a).otherwise(F.struct((a["seen"] + o["n"]).alias("seen"), o["far"].alias("far"))))["far"]
+    # A little less than the radius, so that the k-th neighbour itself isn't counted.
+    reach = around.select("class", "feature", F.col("me.value").alias("value"), F.col("me.n").alias("n"), F.col("me.in_class").alias("in_class"),
+                          wanted.alias("k"), (radius * F.lit(1.0 - 1e-9)).alias("reach"))
+    reach = reach.withColumns({"low": F.col("value") - F.col("reach") + 0.0, "high": F.col("value") + F.col("reach") + 0.0})
+    reach.write.parquet(paths[1])
+    reach = df.sparkSession.read.parquet(paths[1])
+    asked = reach.select("feature", F.explode(F.array("low", "high")).alias("value"), F.lit(0).cast("bigint").alias("n"))
+    places = counts.select("feature", "value", "n").unionByName(asked).groupBy("feature", "value").agg(F.sum("n").alias("n"))
+    below = running_counts(places).select("feature", F.col("value").alias("_at"), "before", (F.col("before") + F.col("n")).alias("upto"))
+    low = below.select(F.col("feature").alias("_f"), F.col("_at"), F.col("before").alias("first"))
+    high = below.select(F.col("feature").alias("_f"), F.col("_at"), "upto")
+    both = reach.join(low, (F.col("feature") == F.col("_f")) & (F.col("low") == F.col("_at"))).drop("_f", "_at")
+    both = both.join(high, (F.col("feature") == F.col("_f")) & (F.col("high") == F.col("_at"))).drop("_f", "_at")
+    within = (F.col("upto") - F.col("first")).cast("double")
+    term = F.col("n") * (digamma(F.col("k").cast("double")) - digamma(F.col("in_class").cast("double")) - digamma(within))
+    found = both.groupBy("feature").agg(F.sum("n").cast("double").alias("n"), F.sum(term).alias("s"))
+    found = found.select("feature", F.greatest(F.lit(0.0), digamma(F.col("n")) + F.col("s") / F.col("n")).alias("mutual_information"))
+    rows = found.collect()  # one row per column name
+    for path in paths:
+        remove(df.sparkSession, path)
+    return df.sparkSession.createDataFrame(rows, found.schema).orderBy(F.desc("mutual_information"), "feature")
+
+
 def fit_bins(df: DataFrame, columns: list[str], bins: int) -> dict[str, list[float]]:
     """Inner quantile edges of each column without duplicates: at most bins - 1 numbers per column."""
     inner = [i / bins for i in range(1, bins)]

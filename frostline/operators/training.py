@@ -24,6 +24,7 @@ from frostline.operators.encoding import fit_labels, label_encode
 from frostline.operators.evaluation import (
     balanced_weights, confusion_counts, holdout_metrics, interval_half_width, regression_metrics, weighted_metrics,
 )
+from frostline.operators.random_trees import RandomTrees, random_trees
 from frostline.operators.sampling import stratified_split
 from frostline.operators.scoring import predict_risk
 from frostline.operators.trees import Forest, Input, raw_scores
@@ -122,8 +123,10 @@ def _learner(cls, seed: int, **params):
 
 # Fixed values below: the learners' settings. Depth 30, MLlib's deepest, stands for "no limit".
 
-#: What a search or a run can fit: MLlib's learners, or settings of leaf-wise boosting.
-Learner = Estimator | Boosting
+#: What a search or a run can fit: MLlib's learners, or settings of this library's.
+Learner = Estimator | Boosting | RandomTrees
+#: Names of the same settings of MLlib's forests and of extremely randomised trees.
+_TREE_NAMES = {"numTrees": "trees", "maxDepth": "depth", "minInstancesPerNode": "min_rows", "featureSubsetStrategy": "columns"}
 Model = PipelineModel | Forest
 
 
@@ -159,24 +162,23 @@ def classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Callable[..., L
     def boosted(**changes):
         return Boosting(rounds=_trees(500, share), learning_rate=0.03, leaves=31, subsample=0.8, columns=0.9, seed=seed).copy(**changes)
 
-    def forest(bootstrap):
-        def build(**changes):
-            settings = {"numTrees": _trees(400, share), "maxDepth": 30, "minInstancesPerNode": 2,
-                        "bootstrap": bootstrap, "featureSubsetStrategy": "sqrt"}
-            return _learner(RandomForestClassifier, seed, labelCol="label", weightCol="weight", **{**settings, **changes})
-        return build
+    def forest(**changes):
+        settings = {"numTrees": _trees(400, share), "maxDepth": 30, "minInstancesPerNode": 2, "featureSubsetStrategy": "sqrt"}
+        return _learner(RandomForestClassifier, seed, labelCol="label", weightCol="weight", **{**settings, **changes})
 
-    return {"boosted": boosted, "random_forest": forest(True), "forest_no_bootstrap": forest(False)}
+    def random_cuts(**changes):
+        return changed(RandomTrees(trees=_trees(400, share), min_rows=2, seed=seed), changes)
 
+    return {"boosted": boosted, "random_forest": forest, "forest_no_bootstrap": random_cuts}
 
-def baseline_classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Estimator]:
+
+def baseline_classifiers(seed: int = 42, share: float = 1.0) -> dict[str, Learner]:
     """The staged run's first models."""
     return {
         "logistic": LogisticRegression(family="multinomial", maxIter=1000, labelCol="label"),
         "decision_tree": _learner(DecisionTreeClassifier, seed, maxDepth=30, labelCol="label"),
         "random_forest": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=30, labelCol="label"),
-        "forest_no_bootstrap": _learner(RandomForestClassifier, seed, numTrees=_trees(300, share), maxDepth=30,
-                                        bootstrap=False, featureSubsetStrategy="sqrt", labelCol="label"),
+        "forest_no_bootstrap": RandomTrees(trees=_trees(300, share), min_rows=1, seed=seed),
     }
 
 
@@ -184,7 +186,8 @@ CLASSIFIER_GRIDS = {
     "boosted": {"rounds": [300, 500, 700], "learning_rate": [0.03, 0.05, 0.08], "leaves": [31, 50, 80],
                 "subsample": [0.8, 0.9, 1.0], "columns": [0.8, 0.9, 1.0]},
     "random_forest": {"numTrees": [300, 400, 500], "maxDepth": [10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4]},
-    "forest_no_bootstrap": {"numTrees": [300, 400, 500], "maxDepth": [10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4]},
+    "forest_no_bootstrap": {"numTrees": [300, 400, 500], "maxDepth": [10, 15, 20, 30], "minInstancesPerNode": [1, 2, 4],
+                            "min_split": [2, 5, 10]},
 }
 STAGED_GRID = {"numTrees": [200, 300, 500], "maxDepth": [10, 20, 30], "minInstancesPerNode": [1, 2, 4],
                "featureSubsetStrategy": ["sqrt", "log2"]}
@@ -215,7 +218,9 @@ def fit(estimator: Estimator, df: DataFrame, columns: list[str], feature_set: st
 
 def changed(learner: Learner, settings: dict) -> Learner:
     """The learner with other settings."""
-    return learner.copy(**settings) if isinstance(learner, Boosting) else learner.copy({learner.getParam(k): v for k, v in settings.items()})
+    if isinstance(learner, Estimator):
+        return learner.copy({learner.getParam(k): v for k, v in settings.items()})
+    return learner.copy(**{_TREE_NAMES.get(k, k) if isinstance(learner, RandomTrees) else k: v for k, v in settings.items()})
 
 
 def _inputs(df: DataFrame, columns: list[str]) -> list[Input]:
@@ -235,6 +240,8 @@ def fit_classifier(df: DataFrame, learner: Learner) -> Model:
     rows = df.select(*INPUTS, PREDICTED_RISK, "label", "weight")
     if isinstance(learner, Boosting):
         return boosted_classes(rows, _inputs(rows, CLASSIFICATION_COLUMNS), "label", len(CLASSES), learner, "weight", "classification")[0]
+    if isinstance(learner, RandomTrees):
+        return random_trees(rows, _inputs(rows, CLASSIFICATION_COLUMNS), "label", len(CLASSES), learner, "weight", "classification")
     return fit(learner, rows, CLASSIFICATION_COLUMNS, "classification")
 
 

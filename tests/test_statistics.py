@@ -188,6 +188,70 @@ def test_vif_equals_regression(readings):
     assert found["twin"] == found[SENSORS[0]] == float("inf") and found[SENSORS[3]] < 1e6
 
 
+def test_vif_of_nearly_dependent_columns(spark):
+    """Columns whose products are dependent to the last bit, while the columns are not."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(3000, 3))
+    x = np.column_stack([x, x[:, 0] + x[:, 1] + 3e-8 * rng.normal(size=3000), 1e6 * x[:, 2] + rng.normal(size=3000)])
+    rows = spark.createDataFrame([tuple(map(float, r)) for r in x] + [(None, 1.0, 1.0, 1.0, 1.0)], "a double, b double, c double, d double, e double")
+    for frame, together in ((rows.repartition(7), 3), (rows.coalesce(1), 64)):
+        factor = selection.triangular_factor(frame, list("abcde"), together)
+        assert np.allclose(np.abs(factor), np.abs(np.linalg.qr(x, mode="r")), rtol=1e-6, atol=1e-6)
+    found = {r["feature"]: r["vif"] for r in selection.vif_scores(rows.repartition(7), list("abcde")).collect()}
+    for i, name in enumerate("abcde"):
+        others = np.delete(x, i, axis=1)
+        left = x[:, i] - others @ np.linalg.lstsq(others, x[:, i], rcond=None)[0]
+        assert found[name] == pytest.approx((x[:, i] @ x[:, i]) / (left @ left), rel=2e-2)
+    assert found["d"] > 1e14 and found["d"] < float("inf")
+    assert selection.vif_scores(rows.limit(2), list("ab")).count() == 2
+
+
+def test_density_equals_a_sum_of_kernels(spark):
+    values = np.random.default_rng(4).normal(10, 3, 2000)
+    rows = spark.createDataFrame([(float(v),) for v in values] + [(None,), (float("nan"),), (float("inf"),)], "a double").repartition(4)
+    curve = profiling.density_curve(rows, "a", 400).collect()
+    width = values.std(ddof=1) * len(values) ** -0.2
+    plain = [np.exp(-0.5 * ((r["value"] - values) / width) ** 2).sum() / (len(values) * width * np.sqrt(2 * np.pi)) for r in curve]
+    assert max(abs(p - r["density"]) for p, r in zip(plain, curve)) < 1e-3 * max(plain)
+    step = curve[1]["value"] - curve[0]["value"]
+    assert sum(r["density"] for r in curve) * step == pytest.approx(1.0, abs=2e-3) and len(curve) == 400
+    assert profiling.density_curve(rows.where("a = 1"), "a").count() == 0
+    assert profiling.density_curve(spark.createDataFrame([(2.0,)] * 5, "a double"), "a").count() == 0
+
+
+def _digamma(x):
+    steps = 200
+    y = x + steps
+    return np.log(y) - 0.5 / y - 1 / (12 * y * y) - sum(1 / (x + i) for i in range(steps))
+
+
+def _neighbours_by_hand(x, cls, k=3):
+    sizes = {c: (cls == c).sum() for c in set(cls)}
+    kept = np.array([sizes[c] > 1 for c in cls])
+    x, cls, total = x[kept], cls[kept], 0.0
+    for v, c in zip(x, cls):
+        mine = min(k, sizes[c] - 1)
+        radius = np.sort(np.abs(x[cls == c] - v))[mine]  # the value itself comes first
+        near = (np.abs(x - v) < radius).sum() if radius > 0 else (x == v).sum()
+        total += _digamma(mine) - _digamma(sizes[c]) - _digamma(near)
+    return max(0.0, _digamma(len(x)) + total / len(x))
+
+
+def test_neighbour_information_equals_all_distances(spark):
+    rng = np.random.default_rng(6)
+    cls = rng.choice(["a", "b", "c"], 400, p=[0.8, 0.19, 0.01])
+    cls[:3], cls[3:5] = "few", "two"
+    cls[5] = "alone"
+    x = np.column_stack([rng.normal(size=400) + (cls == "b") * 2, rng.integers(0, 12, 400) * 0.25, np.round(rng.normal(size=400), 1) * (cls != "c")])
+    rows = spark.createDataFrame([(c, *map(float, r)) for c, r in zip(cls, x)] + [("a", None, float("nan"), float("inf")), (None, 1.0, 1.0, 1.0)],
+                                 "c string, x double, y double, z double").repartition(5)
+    found = {r["feature"]: r["mutual_information"] for r in profiling.neighbour_information(rows, ["x", "y", "z"], "c").collect()}
+    for i, name in enumerate("xyz"):
+        assert found[name] == pytest.approx(_neighbours_by_hand(x[:, i], cls), abs=1e-9)
+    assert found["x"] > found["y"]
+    assert profiling.neighbour_information(rows.limit(0), ["x"], "c").count() == 0
+
+
 def test_published_confusion_matrix(spark):
     counts = {(SAFE, SAFE): 11_893, (SAFE, WARNING): 78, (WARNING, SAFE): 22, (WARNING, WARNING): 7}
     cells = spark.createDataFrame([(a, p, n) for (a, p), n in counts.items()], "actual string, predicted string, n bigint")
