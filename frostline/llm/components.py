@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from frostline.llm.text import written
+from frostline.llm.text import Scratch
 
 
 def _both_ways(links: DataFrame) -> DataFrame:
@@ -24,16 +24,17 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
-def components(links: DataFrame, left: str, right: str) -> DataFrame:
+def components(links: DataFrame, left: str, right: str, scratch: Scratch | None = None) -> DataFrame:
     """(node, root) for every linked node but the roots; a root is the smallest node of its component.
 
     Nodes are of any type with an order. Rounds go on until the links stay as they are; each is written to the shared
-    folder, so that a lost executor costs one round.
+    folder (among the caller's tables, if there are any), so that a lost executor costs one round.
     """
+    scratch = scratch or Scratch(links.sparkSession, "components")
     links = links.select(F.col(left).alias("u"), F.col(right).alias("v")).where("u <> v")
-    links, before = written(links, "links"), None
+    links, before = scratch.written(links, "links"), None
     while True:
-        links = written(_small_star(_large_star(links)), "links")
+        links = scratch.written(_small_star(_large_star(links)), "links")
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             return links.select(F.col("u").alias("node"), F.col("v").alias("root"))

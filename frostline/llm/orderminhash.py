@@ -3,9 +3,13 @@
 The k-mers of a text are its runs of five words, labelled with how often the run came before. For each of `SKETCHES`
 hash functions the `KEPT` labelled k-mers with the smallest values are taken and put in text order: texts share a
 sketch when they share those k-mers in that order, which follows their edit similarity. Texts that share a sketch are
-compared with the smallest and the largest of them first. While a sketch has texts of several components, some of its
-texts, those that meet most others first, are compared with all its texts of other components, four times as many in
-each round, until no two texts of a sketch are in different components without having been compared.
+compared with the smallest and the largest of them first.
+
+Texts of sketches that still lie in several components are compared further, by what similarity needs: two texts whose
+k-mers agree to `LEAST` share one of their rarest ones, rarest among these texts, as few as `prefixes` tells. Texts with
+a passage in common and words of their own otherwise share no such k-mer and never meet. Of the texts that share one, some, those with most k-mers that others have too, are compared with all of
+other components, four times as many in each round, until no two such texts are in different components without having been
+compared. No pair of these texts that is similar is left out.
 
 A candidate is a near duplicate when its five-word runs agree to `LEAST` (Jaccard, counted with repeats) and an
 alignment inside a band of diagonals, as wide as that similarity allows, keeps the same share of the longer text's words.
@@ -14,17 +18,17 @@ At the limit of 0.8 a pair shares one of 16 sketches with probability 1 - 10**-5
 Words are runs of letters and digits, A-Z lower-cased. Equal texts are one node and always of one class. Texts of one to
 four words have one k-mer, all of them. A null text, and a text without words that no other text equals, is a class of
 its own. Classes are named by their smallest doc_id. Repeated rows are members as often as they come. An empty table
-gives no row.
+gives no row. Only the named columns are read; the stage returns its input's columns, whatever their names.
 """
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from frostline.llm.components import components
-from frostline.llm.text import hashed_words, mix, shingles, small_slices, text_key, written
+from frostline.llm.text import Scratch, hashed_words, mix, shingles, small_slices, text_key, written
 
 K, SKETCHES, KEPT, LEAST = 5, 16, 3, 0.8
 _PLACE = np.uint64((1 << 24) - 1)
@@ -91,68 +95,104 @@ def sketch(hashes: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(docs: DataFrame, text: str) -> DataFrame:
-    """(key, n, sketch) for every row of `docs` whose text has words, n its k-mers; `docs` has the struct `key`."""
+def _texts_nodes(held: DataFrame, scratch: Scratch) -> DataFrame:
+    """(id, a, b, n, s0, s1, ...) of every different text with words: a number, its key, its k-mers and its sketches."""
+    names = [f"s{j}" for j in range(SKETCHES)]
+
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 hashes, bounds = hashed_words(batch.column("text"))
-                found = sketch(hashes, bounds)
+                found = sketch(hashes, bounds).view(np.int64)
                 words = np.diff(bounds)
                 rows, n = pa.array(np.flatnonzero(words)), pa.array(np.maximum(words[words > 0] - K + 1, 1).astype(np.int64))
-                each = pa.ListArray.from_arrays(pa.array(np.arange(0, found.size + 1, SKETCHES, dtype=np.int32)), pa.array(found.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column("a").take(rows), batch.column("b").take(rows), n, each], ["a", "b", "n", "sketch"])
+                columns = [batch.column("a").take(rows), batch.column("b").take(rows), n, *(pa.array(np.ascontiguousarray(c)) for c in found.T)]
+                yield pa.RecordBatch.from_arrays(columns, ["a", "b", "n", *names])
 
-    held = docs.select(F.col("key.a").alias("a"), F.col("key.b").alias("b"), F.col(text).alias("text")).where("a IS NOT NULL")
-    found = held.mapInArrow(made, "a bigint, b bigint, n bigint, sketch array<bigint>")
-    return found.select(F.struct("a", "b").alias("key"), "n", "sketch")
+    kind = ", ".join(f"{c} bigint" for c in ("a", "b", "n", *names))
+    found = held.select("a", "b", "text").where("a IS NOT NULL").mapInArrow(made, kind)
+    # Copies have the same numbers, so the smallest of each is theirs; a task's copies are one row before the shuffle.
+    found = found.groupBy("a", "b").agg(*[F.min(c).alias(c) for c in ("n", *names)])
+    return scratch.written(found.withColumn("id", F.monotonically_increasing_id()), "nodes")
 
 
-def candidates(found: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Distinct pairs (x, y), every text with the smallest and the largest text that shares one of its sketches; and
-    (sketch, key, n, size) of the sketches of three texts or more, whose other pairs `linked` goes through.
+def candidates(nodes: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """Distinct pairs (x, y), every text with the smallest and the largest that shares one of its sketches; and
+    (sketch, id) of the sketches of three texts or more, which may have other pairs.
     """
-    rows = found.select("key", "n", F.explode("sketch").alias("sketch"))
-    ends = rows.groupBy("sketch").agg(F.min("key").alias("low"), F.max("key").alias("high"), F.count("*").alias("size")).where("low <> high")
+    rows = nodes.select("id", F.explode(F.array(*[f"s{j}" for j in range(SKETCHES)])).alias("sketch"))
+    ends = rows.groupBy("sketch").agg(F.min("id").alias("low"), F.max("id").alias("high"), F.count("*").alias("size")).where("low <> high")
     # Written, so that adaptive execution sees two plain tables and can split a sketch that very many texts have.
-    ends = written(ends, "ends")
+    ends = scratch.written(ends, "ends")
     met = rows.join(ends, "sketch")
-    pairs = met.select("key", F.explode(F.array("low", "high")).alias("other")).where("key <> other")
-    pairs = pairs.select(F.least("key", "other").alias("x"), F.greatest("key", "other").alias("y")).distinct()
-    return pairs, rows.join(ends.where("size > 2").select("sketch", "size"), "sketch").select("sketch", "key", "n", "size").distinct()
+    pairs = met.select("id", F.explode(F.array("low", "high")).alias("other")).where("id <> other")
+    pairs = pairs.select(F.least("id", "other").alias("x"), F.greatest("id", "other").alias("y")).distinct()
+    return scratch.written(pairs, "pairs"), scratch.written(rows.join(ends.where("size > 2").select("sketch"), "sketch"), "several")
 
 
-def unsettled(rows: DataFrame, roots: DataFrame) -> DataFrame:
-    """The rows of the sketches that have texts of several components, with `root`."""
-    named = written(rows.drop("root").join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node"), "named")
-    several = named.groupBy("sketch").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low <> high")
-    return written(named.join(written(several.select("sketch"), "several"), "sketch"), "open")
+def unsettled(rows: DataFrame, by: str, roots: DataFrame, scratch: Scratch) -> DataFrame:
+    """The rows of the groups `by` that have texts of several components, with `root`."""
+    named = rows.drop("root").join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
+    named = scratch.written(named, "named")
+    meets = F.max("indexed") if "indexed" in rows.columns else F.lit(True)
+    several = named.groupBy(by).agg(F.min("root").alias("low"), F.max("root").alias("high"), meets.alias("meets")).where("low <> high AND meets").select(by)
+    return scratch.written(named.join(scratch.written(several, "several"), by), "open")
 
 
-def linked(found: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """(node, root) of the components of all near duplicates that share a sketch.
+def prefixes(texts: DataFrame, scratch: Scratch) -> DataFrame:
+    """(name, id, n, shared, indexed) of the labelled k-mers by which a text meets every other of these that is similar: rarest
+    first, as many as similarity leaves room for; k-mers that no other text has are counted but meet nobody. `shared` is
+    how many of a text's others have too.
 
-    A pair is left out only when its texts are in one component already, or when their numbers of k-mers alone rule it out.
+    Two texts of n <= m k-mers that agree to LEAST have a k-mer among the shorter one's n - ceil(2 LEAST / (1 + LEAST) n) + 1
+    rarest, which are `indexed`, and the longer one's m - ceil(LEAST * m) + 1 rarest.
     """
-    pairs, rows = candidates(found)
-    checked = written(pairs, "pairs")
-    roots = components(verified(checked, docs, text), "x", "y")
-    rows = unsettled(rows, roots)
-    weights = rows.groupBy("key").agg(F.sum("size").alias("weight"))
-    rows, salts = written(rows.join(weights, "key"), "open"), 1
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_slices(whole, "text"):
+                runs, ends = kmers(*hashed_words(batch.column("text")))
+                names = pa.array(labelled(runs, ends).view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), names)], ["id", "names"])
+
+    each = texts.select("id", "text").mapInArrow(made, "id bigint, names array<bigint>")
+    each = scratch.written(each.select("id", F.size("names").cast("bigint").alias("n"), F.explode("names").alias("name")), "names")
+    counts = scratch.written(each.groupBy("name").agg(F.count("*").alias("c")).where("c > 1"), "counts")
+    shared = each.join(counts, "name")
+    own = Window.partitionBy("id")
+    placed = shared.withColumns({"at": F.row_number().over(own.orderBy("c", "name")), "shared": F.count("*").over(own)})
+    room, inner = (F.col("shared") + 1 - F.ceil(F.col("n") * share - 1e-9) for share in (LEAST, 2 * LEAST / (1 + LEAST)))
+    return scratch.written(placed.where(F.col("at") <= room).select("name", "id", "n", "shared", (F.col("at") <= inner).alias("indexed")), "prefixes")
+
+
+def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
+    """(node, root) of the components of all near duplicates among the texts that share sketches.
+
+    `texts_of` gives (id, text) for numbers of texts. A pair is left out only when its texts are in one component already,
+    or when it can't be similar by the k-mers that the two have.
+    """
+    checked, rows = candidates(nodes, scratch)
+    texts = scratch.written(texts_of(checked.select(F.explode(F.array("x", "y")).alias("id")).distinct()), "texts")
+    roots = components(verified(checked, texts), "x", "y", scratch)
+    rows = unsettled(rows, "sketch", roots, scratch)
+    if not rows.limit(1).count():
+        return roots
+    met = texts.join(rows.select("id").distinct(), "id", "left_semi")
+    rows, salts = unsettled(prefixes(met, scratch), "name", roots, scratch), 1
     while rows.limit(1).count():
-        chosen = rows.groupBy("sketch", F.pmod(F.xxhash64("key", F.lit(salts)), F.lit(salts))).agg(
-            F.max_by(F.struct("key", "n", "root"), F.struct("weight", "key")).alias("pivot"))
-        chosen = written(chosen.select("sketch", "pivot"), "pivots")
-        met = rows.join(chosen, "sketch").where("root <> pivot.root").where(
-            F.least("n", "pivot.n") >= LEAST * F.greatest("n", "pivot.n"))
-        pairs = met.select(F.least("key", "pivot.key").alias("x"), F.greatest("key", "pivot.key").alias("y")).distinct()
-        pairs = written(pairs.join(checked, ["x", "y"], "left_anti"), "pairs")
+        chosen = rows.groupBy("name", F.pmod(F.xxhash64("id", F.lit(salts)), F.lit(salts))).agg(F.max_by("id", "shared").alias("pivot"))
+        chosen = chosen.select("name", "pivot").join(rows.select(F.col("name").alias("_n"), F.col("id").alias("_i"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root"), F.col("indexed").alias("pivot_indexed")),
+                                                     (F.col("name") == F.col("_n")) & (F.col("pivot") == F.col("_i"))).drop("_n", "_i")
+        chosen = scratch.written(chosen, "pivots")
+        pairs = rows.join(chosen, "name").where(F.col("root") != F.col("pivot_root")).where(F.least("n", "pivot_n") >= LEAST * F.greatest("n", "pivot_n"))
+        pairs = pairs.where("(n > pivot_n OR indexed) AND (n < pivot_n OR pivot_indexed)")
+        pairs = pairs.select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
+        pairs = scratch.written(pairs.join(checked, ["x", "y"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
-        links = verified(pairs, docs, text).unionByName(roots.select(F.col("node").alias("x"), F.col("root").alias("y")))
-        roots = components(links, "x", "y")
-        done = chosen.select(F.col("sketch").alias("s"), F.col("pivot.key").alias("k"))
-        rows = unsettled(rows.join(done, (F.col("sketch") == F.col("s")) & (F.col("key") == F.col("k")), "left_anti"), roots)
+        links = verified(pairs, texts).unionByName(roots.select(F.col("node").alias("x"), F.col("root").alias("y")))
+        roots = components(links, "x", "y", scratch)
+        done = chosen.select(F.col("name").alias("_n"), F.col("pivot").alias("_i"))
+        left = rows.join(done, (F.col("name") == F.col("_n")) & (F.col("id") == F.col("_i")), "left_anti")
+        rows = unsettled(left, "name", roots, scratch)
         salts *= 4
     return roots
 
@@ -202,40 +242,49 @@ def similar(x: np.ndarray, y: np.ndarray, least: float = LEAST) -> bool:
     return matched is not None and head + tail + matched >= least * n
 
 
-def verified(pairs: DataFrame, docs: DataFrame, text: str) -> DataFrame:
-    """The pairs whose texts are near duplicates. `docs`: key, doc_id and the text, of which one row of a key is read."""
-    keys = pairs.select(F.explode(F.array("x", "y")).alias("key")).distinct()
-    firsts = docs.groupBy("key").agg(F.min("doc_id").alias("doc_id")).join(keys, "key").withColumnRenamed("key", "k").withColumnRenamed("doc_id", "d")
-    # By document and text, so that copies of one text don't meet in one task.
-    texts = docs.join(firsts, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    texts = written(texts.select("key", F.col(text).alias("text")).dropDuplicates(["key"]), "candidates")
-
+def verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (x, y) whose texts are near duplicates; `texts` has (id, text)."""
     def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "tx"):
                 sides = [hashed_words(batch.column(c)) for c in ("tx", "ty")]
                 kept = [i for i in range(batch.num_rows) if similar(*(h[b[i]:b[i + 1]] for h, b in sides))]
-                yield batch.select(["xa", "xb", "ya", "yb"]).take(pa.array(kept, pa.int64()))
+                yield batch.select(["x", "y"]).take(pa.array(kept, pa.int64()))
 
-    both = pairs.join(texts.select(F.col("key").alias("x"), F.col("text").alias("tx")), "x").join(
-        texts.select(F.col("key").alias("y"), F.col("text").alias("ty")), "y")
-    flat = both.select(F.col("x.a").alias("xa"), F.col("x.b").alias("xb"), F.col("y.a").alias("ya"), F.col("y.b").alias("yb"), "tx", "ty")
-    links = flat.mapInArrow(checked, "xa bigint, xb bigint, ya bigint, yb bigint")
-    return links.select(F.struct(F.col("xa").alias("a"), F.col("xb").alias("b")).alias("x"), F.struct(F.col("ya").alias("a"), F.col("yb").alias("b")).alias("y"))
+    both = pairs.join(texts.select(F.col("id").alias("x"), F.col("text").alias("tx")), "x").join(
+        texts.select(F.col("id").alias("y"), F.col("text").alias("ty")), "y")
+    return both.select("x", "y", "tx", "ty").mapInArrow(checked, "x bigint, y bigint")
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, key, class_id, class_size, n_texts) for every row: its class and how many rows and texts that has."""
-    held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).withColumn("key", text_key(F.col("text")))
-    rows = written(held.select("doc_id", "key"), "keys")
-    roots = linked(written(sketches(held, "text"), "sketches"), held.where("key IS NOT NULL"), "text")
-    marked = rows.join(roots, F.col("key") == F.col("node"), "left").withColumn("root", F.coalesce("root", "key")).drop("node")
-    texts = marked.groupBy("root", "key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
-    about = texts.where("root IS NOT NULL").groupBy("root").agg(
-        F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("n_texts"))
-    named = marked.join(written(about, "classes"), "root", "left")
-    return named.select("doc_id", "key", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
-                        F.coalesce("class_size", F.lit(1)).alias("class_size"), F.coalesce("n_texts", F.lit(1)).alias("n_texts"))
+    held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    held = held.withColumn("key", text_key(F.col("text"))).select("doc_id", "text", "key.a", "key.b")
+    scratch = Scratch(docs.sparkSession, "orderminhash")
+    rows = written(held.select("doc_id", "a", "b"), "keys")
+    nodes = _texts_nodes(held, scratch)
+
+    def texts_of(ids: DataFrame) -> DataFrame:
+        asked = nodes.select("id", "a", "b").join(ids, "id")
+        firsts = rows.where("a IS NOT NULL").groupBy("a", "b").agg(F.min("doc_id").alias("d")).join(asked, ["a", "b"])
+        firsts = firsts.select("id", F.col("a").alias("_a"), F.col("b").alias("_b"), "d")
+        # By document and text, so that copies of one text don't meet in one task.
+        same = (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")) & F.col("doc_id").eqNullSafe(F.col("d"))
+        return held.join(firsts, same).select("id", "text").dropDuplicates(["id"])
+
+    roots = linked(nodes, texts_of, scratch)
+    numbered = rows.join(nodes.select("id", F.col("a").alias("_a"), F.col("b").alias("_b")), (F.col("a") == F.col("_a")) & (F.col("b") == F.col("_b")), "left")
+    marked = numbered.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id"))
+    # A text without words has no number; equal ones are one class.
+    marked = marked.select("doc_id", "a", "b", F.coalesce(F.col("root"), -1 - F.pmod("a", F.lit(1 << 62))).alias("root"))
+    texts = marked.where("a IS NOT NULL").groupBy("root", "a", "b").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    about = texts.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"), F.count("*").alias("n_texts"))
+    named = written(marked.join(scratch.written(about, "classes"), "root", "left"), "classes")
+    scratch.close()
+    return named.select("doc_id", F.when(F.col("a").isNotNull(), F.struct("a", "b")).alias("key"),
+                        F.when(F.col("a").isNull(), F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+                        F.when(F.col("a").isNull(), 1).otherwise(F.col("class_size")).alias("class_size"),
+                        F.when(F.col("a").isNull(), 1).otherwise(F.col("n_texts")).alias("n_texts"))
 
 
 def op8_orderminhash(spark, sf_dir: str) -> DataFrame:
@@ -247,9 +296,10 @@ def near_dedup_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class: the one with the smallest id, once."""
     kept = classes(docs).where(F.col("doc_id").eqNullSafe(F.col("class_id")))
     kept = written(kept.groupBy("doc_id", "key").agg(F.count("*").alias("n")), "kept")
-    own = docs.withColumn("_key", text_key(F.col("text")))
-    ids = kept.select(F.col("doc_id").alias("_id"), F.col("key").alias("_k"))
-    out = own.join(ids, F.col("doc_id").eqNullSafe(F.col("_id")) & F.col("_key").eqNullSafe(F.col("_k")), "left_semi")
+    # The input's columns travel as one, so that their names can't meet the stage's own.
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("d"), text_key(F.col("text")).alias("k"))
+    ids = kept.select("doc_id", "key")
+    out = own.join(ids, F.col("d").eqNullSafe(F.col("doc_id")) & F.col("k").eqNullSafe(F.col("key")), "left_semi")
     if kept.where("n > 1 AND key IS NOT NULL").limit(1).count():
-        out = out.where("_key IS NULL").unionByName(out.where("_key IS NOT NULL").dropDuplicates(["doc_id", "_key"]))
-    return out.drop("_key")
+        out = out.where("k IS NULL").unionByName(out.where("k IS NOT NULL").dropDuplicates(["d", "k"]))
+    return out.select("row.*")

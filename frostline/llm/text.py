@@ -5,9 +5,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from frostline.workspace import fresh_path
+from frostline.workspace import fresh_path, remove
 
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 UPPER = LOWER.upper()
@@ -135,6 +135,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables in the shared folder that one operator needs for a while: they are removed together."""
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.root, self.count = spark, fresh_path(spark, name), 0
+
+    def written(self, df: DataFrame, name: str) -> DataFrame:
+        self.count += 1
+        path = f"{self.root}/{self.count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def close(self) -> None:
+        remove(self.spark, self.root)
+
+
 def small_slices(batch: pa.RecordBatch, text: str, size: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows with about `size` bytes of text, so that what is computed beside it stays bounded."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)

@@ -197,6 +197,50 @@ def test_variants_meet_through_their_base(spark):
     assert len(found) == 1001 and {(r.class_id, r.class_size) for r in found} == {(0, 1001)}
 
 
+def test_texts_with_a_passage_in_common_do_not_meet(spark, monkeypatch):
+    """400 texts share 100 words and have 20 of their own: no pair is similar, and few are compared."""
+    rng, pairs = random.Random(2), []
+    common = " ".join(f"c{rng.randint(0, 9999)}" for _ in range(100))
+    rows = [(i, f"{common} {' '.join(f'o{i}x{j}' for j in range(20))}") for i in range(400)]
+    verified = orderminhash.verified
+    monkeypatch.setattr(orderminhash, "verified", lambda p, t: pairs.append(p.count()) or verified(p, t))
+    found = orderminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert found.where("class_size > 1").count() == 0 and sum(pairs) <= 32 * 400
+
+
+def test_groups_without_a_base_equal_all_pairs(spark):
+    """Chains of edits: neighbours are similar, the ends are not. Classes are those of all pairs."""
+    rng, rows = random.Random(12), []
+    for g in range(6):
+        words = [f"g{g}w{rng.randint(0, 9999)}" for _ in range(rng.choice([12, 60, 150]))]
+        for _ in range(30):
+            rows.append((len(rows), " ".join(words)))
+            for _ in range(max(1, len(words) // 60)):
+                words[rng.randrange(len(words))] = f"n{rng.randint(0, 10**9)}"
+    texts = [np.array([hash(w) for w in t.split()], np.int64).view(np.uint64) for _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if orderminhash.similar(texts[i], texts[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    found = orderminhash.classes(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5))
+    assert {r.doc_id: r.class_id for r in found.collect()} == {i: find(i) for i in range(len(rows))}
+
+
+def test_near_dedup_keeps_columns_of_any_name(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f", 1, 2, 3), (2, "a b c d e f", 4, 5, 6), (3, None, 7, 8, 9)],
+                                 "doc_id bigint, text string, row int, key int, _k int").withColumn("class_id", F.lit(0)).withColumn("id", F.lit(1))
+    found = orderminhash.near_dedup_stage(spark, docs, SMALL)
+    assert found.columns == docs.columns and sorted(r.doc_id for r in found.collect()) == [1, 3]
+
+
 def test_alignment_equals_simple_version():
     rng = random.Random(3)
     for _ in range(500):
