@@ -8,7 +8,7 @@ compared with the smallest and the largest of them first.
 Texts of sketches that still lie in several components are compared further, by what similarity needs: two texts whose
 k-mers agree to `LEAST` share one of their rarest ones, rarest among these texts, as few as `prefixes` tells. Texts with
 a passage in common and words of their own otherwise share no such k-mer and never meet. Of the texts that share one, some, those with most k-mers that others have too, are compared with all of
-other components, four times as many in each round, until no two such texts are in different components without having been
+other components, `GROWTH` times as many in each round, until no two such texts are in different components without having been
 compared. No pair of these texts that is similar is left out.
 
 A candidate is a near duplicate when its five-word runs agree to `LEAST` (Jaccard, counted with repeats) and an
@@ -25,12 +25,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from frostline.llm.components import components
 from frostline.llm.text import Scratch, hashed_words, mix, shingles, small_slices, text_key, written
 
 K, SKETCHES, KEPT, LEAST = 5, 16, 3, 0.8
+#: How many times more texts of a group each round compares with the others.
+GROWTH = 16
+#: Texts of a group that are all compared with each other from the third round on.
+AT_ONCE = 2048
 _PLACE = np.uint64((1 << 24) - 1)
 _NONE = np.uint64(2**64 - 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -140,9 +144,9 @@ def unsettled(rows: DataFrame, by: str, roots: DataFrame, scratch: Scratch) -> D
 
 
 def prefixes(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(name, id, n, shared, indexed) of the labelled k-mers by which a text meets every other of these that is similar: rarest
+    """(name, id, n, shared, names, index, indexed) of the labelled k-mers by which a text meets every other of these that is similar: rarest
     first, as many as similarity leaves room for; k-mers that no other text has are counted but meet nobody. `shared` is
-    how many of a text's others have too.
+    how many of a text's others have too; `names` and `index` are all of its names, and those that are indexed.
 
     Two texts of n <= m k-mers that agree to LEAST have a k-mer among the shorter one's n - ceil(2 LEAST / (1 + LEAST) n) + 1
     rarest, which are `indexed`, and the longer one's m - ceil(LEAST * m) + 1 rarest.
@@ -161,7 +165,17 @@ def prefixes(texts: DataFrame, scratch: Scratch) -> DataFrame:
     own = Window.partitionBy("id")
     placed = shared.withColumns({"at": F.row_number().over(own.orderBy("c", "name")), "shared": F.count("*").over(own)})
     room, inner = (F.col("shared") + 1 - F.ceil(F.col("n") * share - 1e-9) for share in (LEAST, 2 * LEAST / (1 + LEAST)))
-    return scratch.written(placed.where(F.col("at") <= room).select("name", "id", "n", "shared", (F.col("at") <= inner).alias("indexed")), "prefixes")
+    kept = placed.where(F.col("at") <= room).groupBy("id", "n", "shared").agg(
+        F.collect_list("name").alias("names"), F.collect_list(F.when(F.col("at") <= inner, F.col("name"))).alias("index"))
+    rows = kept.select("id", "n", "shared", "names", "index", F.explode("names").alias("name"))
+    return scratch.written(rows.withColumn("indexed", F.array_contains("index", F.col("name"))), "prefixes")
+
+
+def _first_common(one: tuple[str, str, str], other: tuple[str, str, str]) -> Column:
+    """The smallest k-mer by which two texts meet, from (n, names, index) of both; a pair is compared where that one is."""
+    (n, names, index), (m, their_names, their_index) = one, other
+    return F.array_min(F.when(F.col(n) < F.col(m), F.array_intersect(index, their_names)).when(
+        F.col(n) > F.col(m), F.array_intersect(names, their_index)).otherwise(F.array_intersect(index, their_index)))
 
 
 def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch: Scratch) -> DataFrame:
@@ -179,12 +193,16 @@ def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch
     met = texts.join(rows.select("id").distinct(), "id", "left_semi")
     rows, salts = unsettled(prefixes(met, scratch), "name", roots, scratch), 1
     while rows.limit(1).count():
-        chosen = rows.groupBy("name", F.pmod(F.xxhash64("id", F.lit(salts)), F.lit(salts))).agg(F.max_by("id", "shared").alias("pivot"))
-        chosen = chosen.select("name", "pivot").join(rows.select(F.col("name").alias("_n"), F.col("id").alias("_i"), F.col("n").alias("pivot_n"), F.col("root").alias("pivot_root"), F.col("indexed").alias("pivot_indexed")),
-                                                     (F.col("name") == F.col("_n")) & (F.col("pivot") == F.col("_i"))).drop("_n", "_i")
-        chosen = scratch.written(chosen, "pivots")
-        pairs = rows.join(chosen, "name").where(F.col("root") != F.col("pivot_root")).where(F.least("n", "pivot_n") >= LEAST * F.greatest("n", "pivot_n"))
-        pairs = pairs.where("(n > pivot_n OR indexed) AND (n < pivot_n OR pivot_indexed)")
+        sizes = rows.groupBy("name").agg(F.count("*").alias("size"))
+        part = F.pmod(F.xxhash64("id", F.lit(salts)), F.lit(salts))
+        if salts > GROWTH:  # what is left of smaller groups is compared in one round
+            part = F.when(F.col("size") <= AT_ONCE, F.col("id")).otherwise(part)
+        chosen = rows.join(sizes, "name").groupBy("name", part).agg(F.max_by("id", "shared").alias("id"))
+        about = rows.select("name", "id", *[F.col(c).alias(f"pivot_{c}") for c in ("n", "root", "names", "index")])
+        chosen = scratch.written(chosen.select("name", "id").join(about, ["name", "id"]).withColumnRenamed("id", "pivot"), "pivots")
+        met = (F.col("root") != F.col("pivot_root")) & (F.least("n", "pivot_n") >= LEAST * F.greatest("n", "pivot_n")) & (
+            F.col("rows.name") == _first_common(("n", "names", "index"), ("pivot_n", "pivot_names", "pivot_index")))
+        pairs = rows.alias("rows").join(chosen.alias("chosen"), (F.col("rows.name") == F.col("chosen.name")) & met)
         pairs = pairs.select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
         pairs = scratch.written(pairs.join(checked, ["x", "y"], "left_anti"), "pairs")
         checked = checked.unionByName(pairs)
@@ -193,7 +211,7 @@ def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch
         done = chosen.select(F.col("name").alias("_n"), F.col("pivot").alias("_i"))
         left = rows.join(done, (F.col("name") == F.col("_n")) & (F.col("id") == F.col("_i")), "left_anti")
         rows = unsettled(left, "name", roots, scratch)
-        salts *= 4
+        salts *= GROWTH
     return roots
 
 
