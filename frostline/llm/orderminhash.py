@@ -194,13 +194,13 @@ def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch
     rows, salts = unsettled(prefixes(met, scratch), "name", roots, scratch), 1
     while rows.limit(1).count():
         sizes = rows.groupBy("name").agg(F.count("*").alias("size"))
-        part = F.pmod(F.xxhash64("id", F.lit(salts)), F.lit(salts))
-        if salts > GROWTH:  # what is left of smaller groups is compared in one round
-            part = F.when(F.col("size") <= AT_ONCE, F.col("id")).otherwise(part)
-        chosen = rows.join(sizes, "name").groupBy("name", part).agg(F.max_by("id", "shared").alias("id"))
+        whole = (F.col("size") <= AT_ONCE) & F.lit(salts > GROWTH)  # what is left of smaller groups is compared in one round
+        part = F.when(whole, F.col("id")).otherwise(F.pmod(F.xxhash64("id", F.lit(salts)), F.lit(salts)))
+        chosen = rows.join(sizes, "name").groupBy("name", whole.alias("whole"), part).agg(F.max_by("id", "shared").alias("id"))
         about = rows.select("name", "id", *[F.col(c).alias(f"pivot_{c}") for c in ("n", "root", "names", "index")])
-        chosen = scratch.written(chosen.select("name", "id").join(about, ["name", "id"]).withColumnRenamed("id", "pivot"), "pivots")
-        met = (F.col("root") != F.col("pivot_root")) & (F.least("n", "pivot_n") >= LEAST * F.greatest("n", "pivot_n")) & (
+        chosen = scratch.written(chosen.select("name", "whole", "id").join(about, ["name", "id"]).withColumnRenamed("id", "pivot"), "pivots")
+        once = ~F.col("whole") | (F.col("id") < F.col("pivot"))  # where all are chosen, a pair would meet twice
+        met = once & (F.col("root") != F.col("pivot_root")) & (F.least("n", "pivot_n") >= LEAST * F.greatest("n", "pivot_n")) & (
             F.col("rows.name") == _first_common(("n", "names", "index"), ("pivot_n", "pivot_names", "pivot_index")))
         pairs = rows.alias("rows").join(chosen.alias("chosen"), (F.col("rows.name") == F.col("chosen.name")) & met)
         pairs = pairs.select(F.least("id", "pivot").alias("x"), F.greatest("id", "pivot").alias("y")).distinct()
