@@ -143,8 +143,8 @@ def unsettled(rows: DataFrame, by: str, roots: DataFrame, scratch: Scratch) -> D
     return scratch.written(named.join(scratch.written(several, "several"), by), "open")
 
 
-def prefixes(texts: DataFrame, scratch: Scratch) -> DataFrame:
-    """(name, id, n, shared, names, index, indexed) of the labelled k-mers by which a text meets every other of these that is similar: rarest
+def prefixes(texts: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
+    """(name, id, n, shared, indexed) and (id, names, index) of the labelled k-mers by which a text meets every other of these that is similar: rarest
     first, as many as similarity leaves room for; k-mers that no other text has are counted but meet nobody. `shared` is
     how many of a text's others have too; `names` and `index` are all of its names, and those that are indexed.
 
@@ -167,8 +167,9 @@ def prefixes(texts: DataFrame, scratch: Scratch) -> DataFrame:
     room, inner = (F.col("shared") + 1 - F.ceil(F.col("n") * share - 1e-9) for share in (LEAST, 2 * LEAST / (1 + LEAST)))
     kept = placed.where(F.col("at") <= room).groupBy("id", "n", "shared").agg(
         F.collect_list("name").alias("names"), F.collect_list(F.when(F.col("at") <= inner, F.col("name"))).alias("index"))
-    rows = kept.select("id", "n", "shared", "names", "index", F.explode("names").alias("name"))
-    return scratch.written(rows.withColumn("indexed", F.array_contains("index", F.col("name"))), "prefixes")
+    kept = scratch.written(kept, "kept")
+    rows = kept.select("id", "n", "shared", "index", F.explode("names").alias("name")).withColumn("indexed", F.array_contains("index", F.col("name")))
+    return scratch.written(rows.drop("index"), "prefixes"), kept.select("id", "names", "index")
 
 
 def _first_common(one: tuple[str, str, str], other: tuple[str, str, str]) -> Column:
@@ -191,7 +192,8 @@ def linked(nodes: DataFrame, texts_of: Callable[[DataFrame], DataFrame], scratch
     if not rows.limit(1).count():
         return roots
     met = texts.join(rows.select("id").distinct(), "id", "left_semi")
-    rows, salts = unsettled(prefixes(met, scratch), "name", roots, scratch), 1
+    rows, held = prefixes(met, scratch)
+    rows, salts = scratch.written(unsettled(rows, "name", roots, scratch).join(held, "id"), "open"), 1
     while rows.limit(1).count():
         sizes = rows.groupBy("name").agg(F.count("*").alias("size"))
         whole = (F.col("size") <= AT_ONCE) & F.lit(salts > GROWTH)  # what is left of smaller groups is compared in one round
