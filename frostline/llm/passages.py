@@ -9,23 +9,27 @@ seed counts; its later ones are matched with the first as those of another text,
 one owner are chained: a Fenwick tree finds for each match, in text order, the best chain that ends before it in both
 texts, less a cost for each word skipped. Chains become passages when an alignment of the words between their ends,
 lengthened word by word with room for small edits, keeps `LEAST` of the words over `LEAST_WORDS` or more. A chain that
-doesn't is parted where most words are lost between two of its matches, and each part is tried again.
+doesn't is parted where most words are lost between two of its matches, and each part is tried again. A text and an
+owner are one row with all their chains, best first, so that each text travels once for a pair. Chains whose words, and
+WINNOW more on either side, passages of the pair already cover are not aligned again: 51 common words in a row are still
+covered whole, and a line that a text has a thousand times isn't listed a thousand times over the same words.
 
 Words are runs of letters and digits, A-Z lower-cased. Equal texts are one text: of its documents the first holds it
-and all of the others' words repeat it. A text owns what no smaller text has, so one occurrence always stays. Null texts
-and texts of fewer words have no passages. Repeated rows appear as often as they come; an empty table gives no row.
+and all of the others' words repeat it; its passages are listed for the first. A text owns what no smaller text has, so one
+occurrence always stays. Null texts and texts of fewer words have no passages. Repeated rows of one document and text are
+one; an empty table gives no row.
 A text is known by a 64-bit hash while seeds are joined; the alignment rules out what meets by chance.
 """
 
-from bisect import bisect_left
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from frostline.llm.orderminhash import aligned
-from frostline.llm.text import _FOLD_ZERO, flat_bytes, hashed_words, mix, native_words, shingles, small_slices, word_spans, written
+from frostline.llm.text import _FOLD_ZERO, Scratch, flat_bytes, hashed_words, mix, native_words, shingles, small_slices, word_spans, written
 
 K, WINNOW, LEAST_WORDS, LEAST = 5, 12, 40, 0.8
 #: Cost of a skipped word in either text, in matches; fewest matches of a chain; most words that a lengthening adds, and
@@ -101,12 +105,12 @@ def seeds(texts: DataFrame) -> DataFrame:
     return texts.select("a", "text").mapInArrow(made, "seed bigint, a bigint, pos int")
 
 
-def matches(found: DataFrame) -> DataFrame:
+def matches(found: DataFrame, work: Scratch) -> DataFrame:
     """(a, owner, spots): positions in a text and in the owner of the seeds they share, and which are long ones."""
     owners = found.groupBy("seed").agg(
         F.min("a").alias("owner"), F.max("a").alias("_top"), F.expr("min_by(pos, CASE WHEN pos >= 0 THEN a END)").alias("o"))
     # Written, so that adaptive execution sees two plain tables and can split a seed that very many texts have.
-    owners = written(owners.where("owner <> _top").drop("_top"), "owners")
+    owners = work.written(owners.where("owner <> _top").drop("_top"), "owners")
     met = found.join(owners, "seed").where("a <> owner OR pos < 0")
     place = F.when(F.col("pos") < 0, -1 - F.col("pos")).otherwise(F.col("pos"))
     spots = met.groupBy("a", "owner").agg(F.sort_array(F.collect_set(F.struct(place.alias("p"), F.col("o"), (F.col("seed") % 2 != 0).alias("long")))).alias("spots"))
@@ -201,12 +205,36 @@ def lost(x: np.ndarray, y: np.ndarray) -> int:
     return max(len(x), len(y)) - int(common.sum())
 
 
-def parts(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], shift: int | None = None) -> Iterator[tuple[int, int, int, int, int]]:
-    """The passages of a chain: the whole of it, or else those of its parts around the gap that loses most words."""
+class Cover:
+    """Words of a text that are covered, as disjoint stretches in order."""
+
+    def __init__(self):
+        self.spans: list[tuple[int, int]] = []
+
+    def add(self, start: int, end: int) -> None:
+        first = bisect_left(self.spans, start, key=lambda s: s[1])
+        after = bisect_right(self.spans, end, key=lambda s: s[0])
+        if first < after:
+            start, end = min(start, self.spans[first][0]), max(end, self.spans[after - 1][1])
+        self.spans[first:after] = [(start, end)]
+
+    def holds(self, start: int, end: int) -> bool:
+        at = bisect_right(self.spans, start, key=lambda s: s[0]) - 1
+        return at >= 0 and self.spans[at][1] >= end
+
+
+def parts(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], shift: int | None = None,
+          covered: Callable[[int, int], bool] = lambda start, end: False) -> Iterator[tuple[int, int, int, int, int]]:
+    """The passages of a chain: the whole of it, or else those of its parts around the gap that loses most words.
+
+    Parts whose words, and WINNOW more on either side, are `covered` are left out.
+    """
     gaps: list[tuple[int, int]] = []
     left = [(0, len(chain) - 1)]
     while left:
         first, last = left.pop()
+        if covered(max(chain[first][0] - WINNOW, 0), min(chain[last][0] + K + WINNOW, len(x))):
+            continue
         found = passage(x, y, (*chain[first], *chain[last]), shift)
         if found:
             yield found
@@ -216,24 +244,26 @@ def parts(x: np.ndarray, y: np.ndarray, chain: list[tuple[int, int]], shift: int
             left += [(cut + 1, last), (first, cut)]
 
 
-_CHAIN = "a bigint, owner bigint, p array<int>, o array<int>"
+_CHAINS = "a bigint, owner bigint, chains array<struct<p:array<int>,o:array<int>>>"
+_PLACES = pa.list_(pa.struct([("p", pa.list_(pa.int32())), ("o", pa.list_(pa.int32()))]))
 
 
 def chained(met: DataFrame) -> DataFrame:
-    """(a, owner, p, o) for every chain of a text with an owner: the places of all its matches in both."""
-    schema = pa.schema([("a", pa.int64()), ("owner", pa.int64()), ("p", pa.list_(pa.int32())), ("o", pa.list_(pa.int32()))])
+    """(a, owner, chains) for every text and owner with a chain: the places of each one's matches, best chain first."""
+    schema = pa.schema([("a", pa.int64()), ("owner", pa.int64()), ("chains", _PLACES)])
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
             for a, owner, spots in zip(*(batch.column(c).to_pylist() for c in ("a", "owner", "spots"))):
                 inside = [(s["p"] + i, s["o"] + i) for s in spots for i in (_INSIDE if s["long"] else (0,))]
-                for chain in chains(inside):
-                    rows.append((a, owner, *zip(*chain)))
+                found = [dict(zip("po", zip(*chain))) for chain in chains(inside)]
+                if found:
+                    rows.append((a, owner, found))
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    return met.mapInArrow(made, _CHAIN)
+    return met.mapInArrow(made, _CHAINS)
 
 
 def _window(places: list[int]) -> tuple[int, int]:
@@ -241,6 +271,17 @@ def _window(places: list[int]) -> tuple[int, int]:
     return max(places[0] - STRETCH, 0), places[-1] + K + STRETCH
 
 
+def _windows(chains: list[dict]) -> tuple[list[tuple[int, int]], list[int]]:
+    """The words of a text that any of its chains can touch, as disjoint stretches, and how many lie before each."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(_window(c["p"]) for c in chains):
+        if out and low <= out[-1][1]:
+            out[-1] = out[-1][0], max(high, out[-1][1])
+        else:
+            out.append((low, high))
+    return out, [0, *np.cumsum([high - low for low, high in out]).tolist()]
+
+
 def _words(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of the words of a batch's texts, and where each row's begin and end; rows of one text in a row share them."""
     names = batch.column(name).to_numpy(zero_copy_only=False)
@@ -250,21 +291,41 @@ def _words(batch: pa.RecordBatch, name: str) -> tuple[np.ndarray, np.ndarray, np
     return hashes, bounds[at], bounds[at + 1]
 
 
+def confirmed(chains: list[dict], words: np.ndarray, other: np.ndarray, same: bool) -> Iterator[tuple[int, int, int, int, int]]:
+    """Start and end in a text and in its owner, and words matched, of the passages of their chains.
+
+    `words`: hashes of the text's words around its chains (`_windows`); `other`: of all words of the owner.
+    """
+    sent, before = _windows(chains)
+    cover = Cover()
+    for chain in chains:
+        (low, high), (start, stop) = _window(chain["p"]), _window(chain["o"])
+        at = bisect_right(sent, low, key=lambda s: s[0]) - 1
+        skipped = before[at] - sent[at][0]
+        x, y = words[low + skipped:min(high + skipped, before[at + 1])], other[start:stop]
+        spots = [(p - low, o - start) for p, o in zip(chain["p"], chain["o"])]
+        for a, b, c, d, matched in parts(x, y, spots, low - start if same else None, lambda s, e: cover.holds(s + low, e + low)):
+            if not cover.holds(a + low, b + low):
+                cover.add(a + low, b + low)
+                yield a + low, b + low, c + start, d + start, matched
+
+
 def passages(ends: DataFrame, texts: DataFrame) -> DataFrame:
-    """(a, start, end, owner, owner_start, owner_end, matched) for every chain, or part of one, that an alignment confirms.
+    """(a, start, end, owner, owner_start, owner_end, matched) for chains, or parts of them, that an alignment confirms.
 
-    `texts`: a and text, one row for each text. Only the words around a chain travel to its owner's text.
+    `ends`: what `chained` gives; `texts`: a and text, one row for each text. Only the words around a text's chains travel
+    to its owner's text, once for each pair.
     """
-    names = ["a", "owner", "p", "o"]
+    names = ["a", "owner", "chains"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in small_slices(whole, "text"):
                 hashes, begin, end = _words(batch, "a")
                 words = []
-                for i, places in enumerate(batch.column("p").to_pylist()):
-                    lo, hi = _window(places)
-                    words.append(hashes[begin[i]:end[i]][lo:hi].tobytes())
+                for i, found in enumerate(batch.column("chains").to_pylist()):
+                    own = hashes[begin[i]:end[i]]
+                    words.append(b"".join(own[low:high].tobytes() for low, high in _windows(found)[0]))
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(words, pa.binary())], [*names, "words"])
 
     schema = pa.schema([("a", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("owner", pa.int64()),
@@ -276,16 +337,13 @@ def passages(ends: DataFrame, texts: DataFrame) -> DataFrame:
                 hashes, begin, end = _words(batch, "owner")
                 rows = []
                 for i, row in enumerate(batch.select([*names, "words"]).to_pylist()):
-                    x, lo = np.frombuffer(row["words"], np.uint64), _window(row["p"])[0]
-                    start, stop = _window(row["o"])
-                    y = hashes[begin[i]:end[i]][start:stop]
-                    spots = [(p - lo, o - start) for p, o in zip(row["p"], row["o"])]
-                    for a, b, c, d, matched in parts(x, y, spots, lo - start if row["a"] == row["owner"] else None):
-                        rows.append((row["a"], a + lo, b + lo, row["owner"], c + start, d + start, matched))
+                    words, other = np.frombuffer(row["words"], np.uint64), hashes[begin[i]:end[i]]
+                    for a, b, c, d, matched in confirmed(row["chains"], words, other, row["a"] == row["owner"]):
+                        rows.append((row["a"], a, b, row["owner"], c, d, matched))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), schema.types)], schema=schema)
 
-    near = ends.join(texts, "a").select(*names, "text").mapInArrow(cut, _CHAIN + ", words binary")
+    near = ends.join(texts, "a").select(*names, "text").mapInArrow(cut, _CHAINS + ", words binary")
     owners = texts.select(F.col("a").alias("owner"), "text")
     out = near.join(owners, "owner").select(*names, "words", "text")
     return out.mapInArrow(align, "a bigint, start bigint, end bigint, owner bigint, owner_start bigint, owner_end bigint, matched bigint")
@@ -298,14 +356,17 @@ def shared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     held = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).where("text IS NOT NULL")
     held = held.withColumn("a", F.xxhash64("text"))
     rows = written(held.select("doc_id", "a"), "rows")
-    ends = written(chained(matches(seeds(held))), "chains")
+    work = Scratch(docs.sparkSession, "seeds")
+    ends = work.written(chained(matches(work.written(seeds(held), "seeds"), work)), "chains")
     firsts = rows.groupBy("a").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     asked = ends.select(F.explode(F.array("a", "owner")).alias("a")).unionByName(firsts.where("n > 1").select("a")).distinct()
     asked = firsts.join(asked, "a").select(F.col("a").alias("k"), F.col("first").alias("d"))
     # By document and text, so that copies of one text don't meet in one task.
     texts = held.join(asked, (F.col("a") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
     texts = written(texts.dropDuplicates(["a"]).select("a", "text"), "texts")
-    return written(passages(ends, texts), "passages"), rows.join(firsts, "a"), texts
+    found = written(passages(ends, texts), "passages")
+    work.close()
+    return found, rows.join(firsts, "a"), texts
 
 
 def copies(rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -321,17 +382,18 @@ def op2_passages(spark, sf_dir: str) -> DataFrame:
     """Every occurrence of a shared passage: words [start, end) of a document, and where the other document has them.
 
     `repeats` is true for the occurrence to drop; the owner's occurrence is listed with false. Copies of one text are
-    listed against its first document.
+    listed against its first document, which alone lists the text's passages.
     """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     found, rows, texts = shared(docs)
-    first = rows.select(F.col("a").alias("owner"), F.col("first").alias("other_doc_id")).distinct()
-    repeats = found.join(rows.select("a", "doc_id"), "a").join(first, "owner").select(
+    first = rows.select("a", "first").distinct()
+    named = found.join(first.select("a", F.col("first").alias("doc_id")), "a").join(
+        first.select(F.col("a").alias("owner"), F.col("first").alias("other_doc_id")), "owner")
+    repeats = named.select(
         "doc_id", "start", "end", "other_doc_id", F.col("owner_start").alias("other_start"), F.col("owner_end").alias("other_end"), "matched")
-    names = first.select(F.col("owner").alias("a"), F.col("other_doc_id").alias("member"))
-    owned = found.join(first, "owner").join(names, "a").select(
+    owned = named.select(
         F.col("other_doc_id").alias("doc_id"), F.col("owner_start").alias("start"), F.col("owner_end").alias("end"),
-        F.col("member").alias("other_doc_id"), F.col("start").alias("other_start"), F.col("end").alias("other_end"), "matched")
+        F.col("doc_id").alias("other_doc_id"), F.col("start").alias("other_start"), F.col("end").alias("other_end"), "matched")
     whole = copies(rows, texts)
     kept = whole.select(F.col("other_doc_id").alias("doc_id"), "start", "end", F.col("doc_id").alias("other_doc_id"), "other_start", "other_end", "matched")
     later, sources = repeats.unionByName(whole), owned.unionByName(kept)

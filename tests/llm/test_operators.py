@@ -335,6 +335,36 @@ def test_frequent_lines_in_a_shared_order_are_found(spark):
         assert spans.get(frozenset((f"x{i}", f"y{i}")), set()) >= set(range(70, 130))
 
 
+def test_cover_holds_what_was_added():
+    rng = random.Random(8)
+    for _ in range(200):
+        cover, covered = passages.Cover(), set()
+        for _ in range(rng.randint(1, 12)):
+            start = rng.randint(0, 60)
+            end = start + rng.randint(1, 15)
+            cover.add(start, end)
+            covered |= set(range(start, end))
+        assert {i for s, e in cover.spans for i in range(s, e)} == covered
+        assert all(a[1] < b[0] for a, b in zip(cover.spans, cover.spans[1:]))
+        for _ in range(20):
+            start = rng.randint(0, 70)
+            end = start + rng.randint(1, 9)
+            assert cover.holds(start, end) == (set(range(start, end)) <= covered)
+
+
+def test_a_repeated_line_has_few_rows(spark):
+    line = " ".join(f"v{i}" for i in range(20))
+    ends = [" ".join(f"{c}{i}" for i in range(30)) for c in "ab"]
+    rows = [(i, f"{end} " + f"{line} " * 300 + end) for i, end in enumerate(ends)]
+    found, held, _ = passages.shared(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    found = found.collect()
+    other, own = ([r for r in found if (r["a"] == r["owner"]) == same] for same in (False, True))
+    assert 0 < len(found) < 400
+    covered = lambda rows: {i for r in rows for i in range(r["start"], r["end"])}
+    assert covered(other) >= set(range(30, 6030 - 60)) and covered(own) >= set(range(30 + 40, 6030 - 60))
+    assert all(r["owner_end"] <= r["start"] for r in own)
+
+
 def test_owners_repeats_are_passages(spark):
     """A text with the passage twice lists both, and the stage keeps one occurrence, whichever text is the owner."""
     rng = random.Random(7)
