@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from frostline.llm.orderminhash import aligned
-from frostline.llm.text import _FOLD_ZERO, Scratch, flat_bytes, hashed_words, mix, native_words, shingles, small_slices, word_spans, written
+from frostline.llm.text import _FOLD_ZERO, Scratch, flat_bytes, hashed_words, mix, shingles, small_slices, word_spans, written
 
 K, WINNOW, LEAST_WORDS, LEAST = 5, 12, 40, 0.8
 #: Cost of a skipped word in either text, in matches; fewest matches of a chain; most words that a lengthening adds, and
@@ -107,8 +107,8 @@ def seeds(texts: DataFrame) -> DataFrame:
 
 def matches(found: DataFrame, work: Scratch) -> DataFrame:
     """(a, owner, spots): positions in a text and in the owner of the seeds they share, and which are long ones."""
-    owners = found.groupBy("seed").agg(
-        F.min("a").alias("owner"), F.max("a").alias("_top"), F.expr("min_by(pos, CASE WHEN pos >= 0 THEN a END)").alias("o"))
+    owners = found.where("pos >= 0").groupBy("seed").agg(
+        F.min("a").alias("owner"), F.max("a").alias("_top"), F.min_by("pos", "a").alias("o"))
     # Written, so that adaptive execution sees two plain tables and can split a seed that very many texts have.
     owners = work.written(owners.where("owner <> _top").drop("_top"), "owners")
     met = found.join(owners, "seed").where("a <> owner OR pos < 0")
@@ -360,22 +360,35 @@ def shared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     ends = work.written(chained(matches(work.written(seeds(held), "seeds"), work)), "chains")
     firsts = rows.groupBy("a").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     asked = ends.select(F.explode(F.array("a", "owner")).alias("a")).unionByName(firsts.where("n > 1").select("a")).distinct()
-    asked = firsts.join(asked, "a").select(F.col("a").alias("k"), F.col("first").alias("d"))
-    # By document and text, so that copies of one text don't meet in one task.
-    texts = held.join(asked, (F.col("a") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("d")), "left_semi")
-    texts = written(texts.dropDuplicates(["a"]).select("a", "text"), "texts")
+    name = F.concat(F.col("doc_id").isNull().cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    asked = firsts.join(asked, "a").select("a", F.col("first").alias("doc_id")).select("a", name.alias("d"))
+    # By document and text, so that copies of one text don't meet in one task; repeated rows do, where the join left them.
+    texts = held.select("a", name.alias("d"), "text").join(asked, ["a", "d"], "left_semi")
+    texts = written(texts.dropDuplicates(["a", "d"]).select("a", "text"), "texts")
     found = written(passages(ends, texts), "passages")
     work.close()
-    return found, rows.join(firsts, "a"), texts
+    return found, written(rows.join(firsts, "a"), "members"), texts
+
+
+def word_counts(texts: DataFrame) -> DataFrame:
+    """(a, n_words) of texts."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in small_slices(whole, "text"):
+                counts = np.diff(hashed_words(batch.column("text"))[1])
+                yield pa.RecordBatch.from_arrays([batch.column("a"), pa.array(counts, pa.int64())], ["a", "n_words"])
+
+    return texts.select("a", "text").mapInArrow(made, "a bigint, n_words bigint")
 
 
 def copies(rows: DataFrame, texts: DataFrame) -> DataFrame:
     """(doc_id, start, end, other_doc_id, ...) for documents whose whole text another, earlier one has."""
-    later = rows.where("n > 1 AND NOT (doc_id <=> first)").select(F.col("doc_id").alias("d"), "a", "first").distinct()
-    counted = texts.select("a", F.size(native_words(F.col("text"))).cast("bigint").alias("end"))
-    met = later.join(counted, "a").where(F.col("end") >= LEAST_WORDS)
-    return met.select(F.col("d").alias("doc_id"), F.lit(0).cast("bigint").alias("start"), "end", F.col("first").alias("other_doc_id"),
-                      F.lit(0).cast("bigint").alias("other_start"), F.col("end").alias("other_end"), F.col("end").alias("matched"))
+    later = rows.where("n > 1 AND NOT (doc_id <=> first)").select("doc_id", "a", "first").distinct()
+    copied = texts.join(later.select("a").distinct(), "a", "left_semi")
+    counted = written(word_counts(copied).where(F.col("n_words") >= LEAST_WORDS), "counts")
+    met, none = later.join(counted, "a"), F.lit(0).cast("bigint")
+    return met.select("doc_id", none.alias("start"), F.col("n_words").alias("end"), F.col("first").alias("other_doc_id"),
+                      none.alias("other_start"), F.col("n_words").alias("other_end"), F.col("n_words").alias("matched"))
 
 
 def op2_passages(spark, sf_dir: str) -> DataFrame:
@@ -389,15 +402,12 @@ def op2_passages(spark, sf_dir: str) -> DataFrame:
     first = rows.select("a", "first").distinct()
     named = found.join(first.select("a", F.col("first").alias("doc_id")), "a").join(
         first.select(F.col("a").alias("owner"), F.col("first").alias("other_doc_id")), "owner")
-    repeats = named.select(
-        "doc_id", "start", "end", "other_doc_id", F.col("owner_start").alias("other_start"), F.col("owner_end").alias("other_end"), "matched")
-    owned = named.select(
-        F.col("other_doc_id").alias("doc_id"), F.col("owner_start").alias("start"), F.col("owner_end").alias("end"),
-        F.col("doc_id").alias("other_doc_id"), F.col("start").alias("other_start"), F.col("end").alias("other_end"), "matched")
-    whole = copies(rows, texts)
-    kept = whole.select(F.col("other_doc_id").alias("doc_id"), "start", "end", F.col("doc_id").alias("other_doc_id"), "other_start", "other_end", "matched")
-    later, sources = repeats.unionByName(whole), owned.unionByName(kept)
-    return later.withColumn("repeats", F.lit(True)).unionByName(sources.withColumn("repeats", F.lit(False)))
+    named = named.select("doc_id", "start", "end", "other_doc_id", F.col("owner_start").alias("other_start"),
+                         F.col("owner_end").alias("other_end"), "matched")
+    here, there = ("doc_id", "start", "end"), ("other_doc_id", "other_start", "other_end")
+    sides = [F.struct(*[F.col(c).alias(n) for c, n in zip(one + other, here + there)], "matched", F.lit(repeats).alias("repeats"))
+             for one, other, repeats in ((here, there, True), (there, here, False))]
+    return named.unionByName(copies(rows, texts)).select(F.explode(F.array(*sides)).alias("side")).select("side.*")
 
 
 def without(docs: DataFrame, spans: DataFrame, text: str = "text") -> DataFrame:
