@@ -357,7 +357,8 @@ def shared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     held = held.withColumn("a", F.xxhash64("text"))
     rows = written(held.select("doc_id", "a"), "rows")
     work = Scratch(docs.sparkSession, "seeds")
-    ends = work.written(chained(matches(work.written(seeds(held), "seeds"), work)), "chains")
+    ends = written(chained(matches(work.written(seeds(held), "seeds"), work)), "chains")
+    work.close()
     firsts = rows.groupBy("a").agg(F.min("doc_id").alias("first"), F.count("*").alias("n"))
     asked = ends.select(F.explode(F.array("a", "owner")).alias("a")).unionByName(firsts.where("n > 1").select("a")).distinct()
     name = F.concat(F.col("doc_id").isNull().cast("string"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
@@ -366,7 +367,6 @@ def shared(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple
     texts = held.select("a", name.alias("d"), "text").join(asked, ["a", "d"], "left_semi")
     texts = written(texts.dropDuplicates(["a", "d"]).select("a", "text"), "texts")
     found = written(passages(ends, texts), "passages")
-    work.close()
     return found, written(rows.join(firsts, "a"), "members"), texts
 
 

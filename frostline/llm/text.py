@@ -144,7 +144,7 @@ class Scratch:
     def written(self, df: DataFrame, name: str) -> DataFrame:
         self.count += 1
         path = f"{self.root}/{self.count}-{name}"
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
