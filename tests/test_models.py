@@ -8,12 +8,15 @@ from frostline.operators.encoding import code_table, fit_labels, label_decode, l
 from frostline.operators.evaluation import regression_metrics
 from frostline.operators.sampling import stratified_split
 from frostline.operators.scoring import predict_risk, score_shipments
+from frostline.plans import staged
 from frostline.plans.classification import run_classification
 from frostline.plans.regression import run_regression
-from frostline.plans.staged import balance_legacy, run_staged
+from frostline.plans.resume import content, stage_report
+from frostline.plans.staged import STAGE_NAMES, balance_legacy, run_staged
 from frostline.schema import ACTION, CARGO, CLASSES, EMERGENCY, ID, INPUTS, PREDICTED_RISK, RISK, SAFE, SENSORS, WARNING
 from frostline.sources.models import load_model, save_model
 from frostline.sources.tables import read_telemetry, write_table
+from frostline.sources.versions import manifest
 
 TARGETS = {SAFE: 400, WARNING: 120, EMERGENCY: 120}
 
@@ -141,14 +144,67 @@ def test_classification_run(spark, readings, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/test_predictions").count() == rows[-1]["samples"]
 
 
-def test_staged_run(spark, readings, tmp_path):
-    board = run_staged(readings, str(tmp_path), targets=TARGETS, share=0.005, n_iter=1, folds=2, tuned=("random_forest",))
-    rows = board.collect()
+STAGED_RUN = dict(targets=TARGETS, share=0.005, n_iter=1, folds=2, tuned=("random_forest",))
+
+
+@pytest.fixture(scope="module")
+def unbroken(spark, readings, tmp_path_factory):
+    out = str(tmp_path_factory.mktemp("staged"))
+    return out, run_staged(readings, out, **STAGED_RUN).collect()
+
+
+def test_staged_run(spark, unbroken):
+    out, rows = unbroken
     assert [r["Rank"] for r in rows if r["Rank"]] == [1, 2, 3, 4, 5] and rows[-1]["Category"] == "Test"
-    _, metadata = load_model(spark, f"{tmp_path}/model")
+    _, metadata = load_model(spark, f"{out}/model")
     assert RISK not in metadata["features"]
 
 
+def test_broken_staged_run_goes_on(spark, readings, unbroken, tmp_path, monkeypatch):
+    """Broken in its sixth stage, a run goes on there and leaves what an unbroken one does; new settings rerun what needs them."""
+    broken, (whole, whole_board) = str(tmp_path), unbroken
+    plain, calls = staged.features_staged, []
+
+    def breaks(rows):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("stopped in the sixth stage")
+        return plain(rows)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(staged, "features_staged", breaks)
+        with pytest.raises(OSError):
+            run_staged(readings, broken, **STAGED_RUN, resume=True)
+    states = {r["stage"]: r["state"] for r in stage_report(spark, broken, STAGE_NAMES).collect()}
+    assert states == {**dict.fromkeys(STAGE_NAMES[:5], "done"), STAGE_NAMES[5]: "open"}
+    board = run_staged(readings, broken, **STAGED_RUN, resume=True).collect()
+    report = stage_report(spark, broken, STAGE_NAMES).collect()
+    assert [r["attempts"] for r in report] == [2 if i == 5 else 1 for i in range(13)] and {r["state"] for r in report} == {"done"}
+    assert [r["stage"] for r in report] == list(STAGE_NAMES) and {(r["Category"], r["Model"]) for r in board[:-1]} == {
+        (r["Category"], r["Model"]) for r in whole_board[:-1]}
+    for name in ("split", "validation_features", "test_features"):
+        mine, other = (manifest(spark, f"{out}/_stages/{name}")["tables"] for out in (broken, whole))
+        assert mine == other
+    for table in ("balanced_train", "engineered_train", "selected/train", "selected/validation", "selected/test"):
+        mine, other = (spark.read.parquet(f"{out}/{table}") for out in (broken, whole))
+        assert mine.columns == other.columns and mine.count() == other.count()
+        assert mine.select(ID).exceptAll(other.select(ID)).isEmpty()
+    assert run_staged(readings, broken, **STAGED_RUN, resume=True).collect() == board
+    run_staged(readings, broken, **{**STAGED_RUN, "folds": 3}, resume=True)
+    again = {r["stage"]: r["attempts"] for r in stage_report(spark, broken, STAGE_NAMES).collect()}
+    assert again["tuned"] == 2 and again["comparison"] == 2 and again["baseline"] == 1 and again["selection"] == 1
+
+
+def test_content_knows_rows_not_their_order(spark):
+    kind = "a int, b string"
+    rows = [(1, "x"), (None, "y"), (2, None), (2, None)]
+    same = content(spark.createDataFrame(rows, kind))
+    assert same == content(spark.createDataFrame(rows[::-1], kind).repartition(3).select("b", "a")) and same["rows"] == 4
+    others = [rows[:3], [*rows, (2, None)], [(1, "x"), (None, "y"), (2, None), (2, "")], []]
+    assert len({same["hash"], *(content(spark.createDataFrame(o, kind))["hash"] for o in others)}) == 5
+    assert content(spark.createDataFrame([(None, 1)], "a int, b int"))["hash"] != content(spark.createDataFrame([(1, None)], "a int, b int"))["hash"]
+
+
 def test_legacy_balance(readings):
     made, report = balance_legacy(readings, warning=200, emergency=150)
     counts = {(r["stage"], r["class"]): r["count"] for r in report.collect()}
