@@ -161,7 +161,10 @@ def test_staged_run(spark, unbroken):
 
 
 def test_broken_staged_run_goes_on(spark, readings, unbroken, tmp_path, monkeypatch):
-    """Broken in its sixth stage, a run goes on there and leaves what an unbroken one does; new settings rerun what needs them."""
+    """Broken in its sixth stage, a run goes on there and leaves the rows that an unbroken one does; new settings rerun what needs them.
+
+    Chosen features and fitted models aren't compared: bagging goes by the order of rows, which two runs don't share.
+    """
     broken, (whole, whole_board) = str(tmp_path), unbroken
     plain, calls = staged.features_staged, []
 
@@ -187,7 +190,7 @@ def test_broken_staged_run_goes_on(spark, readings, unbroken, tmp_path, monkeypa
         assert mine == other
     for table in ("balanced_train", "engineered_train", "selected/train", "selected/validation", "selected/test"):
         mine, other = (spark.read.parquet(f"{out}/{table}") for out in (broken, whole))
-        assert mine.columns == other.columns and mine.count() == other.count()
+        assert mine.count() == other.count()
         assert mine.select(ID).exceptAll(other.select(ID)).isEmpty()
     assert run_staged(readings, broken, **STAGED_RUN, resume=True).collect() == board
     run_staged(readings, broken, **{**STAGED_RUN, "folds": 3}, resume=True)
