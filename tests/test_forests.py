@@ -77,3 +77,42 @@ def test_gaps_are_an_error_as_before(spark, readings):
     broken = readings.withColumn(WATTS, F.when(F.rand(1) > 0.5, F.col(WATTS)))
     with pytest.raises(Exception, match="missing in a row"):
         training.fit_regressor(broken, training.legacy_regressors(share=0.01)["random_forest"])
+
+
+def test_trees_share_the_passes_over_wide_nodes(table, monkeypatch):
+    settings = BaggedTrees(trees=12, depth=6, min_rows=2)
+    whole, passes, split = random_trees(table, INPUTS, "k", 3, settings), [], forests._split_wide
+    monkeypatch.setattr(forests, "LOCAL_ROWS", 200)
+    monkeypatch.setattr(forests, "PAIRS", 1_000)  # rows of about one tree are sent together
+    monkeypatch.setattr(forests, "_split_wide", lambda *a: passes.append(len(a[1])) or split(*a))
+    parts = random_trees(table, INPUTS, "k", 3, settings)
+    assert passes[0] == 12 and len(passes) <= settings.depth
+    assert (whole.threshold == parts.threshold).all() and (whole.value == parts.value).all()
+
+
+def test_grown_parts_are_packed():
+    rng = np.random.default_rng(4)
+    bins, label, draw = rng.integers(0, 30, (4_000, 3)).astype(np.uint8), rng.integers(0, 3, 4_000), rng.integers(0, 1 << 60, 4_000)
+    for gains in (False, True):
+        growth = Growth((30,) * 3, ((0.0,) * 29,) * 3, 3, 30, 1, 2, 2, True, False, 8.0, 7, gains)
+        made = forests.grown_here(bins, label, np.full(4_000, 8.0), copies(draw, 0, growth), 0, 5, growth)
+        packed = forests._packed(made, growth)
+        assert sum(map(len, packed)) < len(made[0]) * (9 if gains else 5)  # 44 bytes a node as plain numbers
+        node, column, cut, gain, n, held = (x[np.argsort(made[0])] for x in made)
+        found = forests._part(5, dict(zip(("col", "cut", "gain", "n", "held"), packed)), growth)
+        inner = column >= 0
+        assert (found[0] == node).all() and (found[1] == column).all() and (found[2][inner] == cut[inner]).all()
+        assert (found[3][inner] == gain[inner]).all() if gains else (found[5][~inner] == held[~inner]).all()
+
+
+def test_importance_makes_its_rows_once(spark, table):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def counted(value):
+        made.add(1)
+        return value
+
+    counted = counted.asNondeterministic()
+    found = training.forest_importance(table.select(counted("a").alias("a"), "b", "c", "y"), list("abc"), "y", trees=3, depth=4).collect()
+    assert {r["feature"] for r in found} == set("abc") and made.value == 900
