@@ -112,6 +112,36 @@ def test_quantile_scans_sort_no_values(spark, readings, monkeypatch):
     assert len(plans) == 2 and moved and not any("value" in line or "key" in line for line in moved)
 
 
+def test_quantiles_without_groups_count_arrays(spark, monkeypatch):
+    """No reading becomes a row of its own; pieces of a column, empty ones too, add up to the same quantiles."""
+    plans = []
+    settled = quantiles._settled
+    monkeypatch.setattr(quantiles, "_settled", lambda cells: plans.append(cells._jdf.queryExecution().executedPlan().toString()) or settled(cells))
+    rng = np.random.default_rng(3)
+    many, few = rng.normal(size=5000) * 1e-3, np.round(rng.normal(size=5000), 1)
+    frame = [(None if i < 700 else float(a), int(10 * b)) for i, (a, b) in enumerate(zip(many, few))]
+    rows = spark.createDataFrame(frame, "a double, k bigint").coalesce(2)
+    monkeypatch.setattr(quantiles, "_TOGETHER", 600)
+    monkeypatch.setattr(quantiles, "FEW_ROWS", 0)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        found = {r["feature"]: [r[f"q{i}"] for i in range(4)] for r in quantiles.quantiles(rows, ["a", "k"], [0.0, 0.3, 0.5, 1.0]).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert len(plans) >= 2 and not any("Expand" in p or "Generate" in p for p in plans)
+    np.testing.assert_allclose(found["a"], np.quantile(many[700:], [0.0, 0.3, 0.5, 1.0]), rtol=1e-15)
+    np.testing.assert_allclose(found["k"], np.quantile([k for _, k in frame], [0.0, 0.3, 0.5, 1.0]), rtol=1e-15)
+
+
+def test_sort_keys_of_arrays_are_the_same(spark):
+    values = [0.0, -0.0, 5e-324, -5e-324, 1.5, -1.5, 1e308, -1e308, float("inf"), float("-inf"), sys.float_info.min]
+    rows = spark.createDataFrame([(v,) for v in values], "value double")
+    keys = {repr(r["value"]): r["key"] for r in quantiles.with_sort_key(rows).collect()}
+    assert quantiles.sort_keys(np.array(values)).tolist() == [keys[repr(v)] for v in values]
+    assert quantiles._values_of(quantiles.sort_keys(np.array(values))).tolist() == values
+
+
 def test_quantiles_edge_inputs(spark):
     assert quantiles.quantiles(spark.createDataFrame([], "a double"), ["a"], [0.5]).count() == 0
     one = quantiles.quantiles(spark.createDataFrame([(3.0,)], "a double"), ["a"], [0.0, 0.5, 1.0]).first()
