@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from frostline.operators import training
+from frostline.operators import boosting, training
 from frostline.operators.boosting import Boosting, Node, Tree, boosted_classes, boosted_numbers
 from frostline.operators.scoring import add_probabilities
 from frostline.operators.trees import Input, linked, raw_scores
@@ -164,3 +164,19 @@ def test_growth_waits_for_unknown_sums():
     kept = Tree(tree.nodes, [0]).kept()
     assert [(n.left, n.right) for n in kept.nodes] == [(1, 2), (-1, -1), (-1, -1)] and kept.accepted == [0]
     assert math.isclose(kept.nodes[0].split[0], 5.0)
+
+
+def test_the_driver_gets_one_short_row_for_a_leaf(table, monkeypatch):
+    """Sums by column and bin stay in tasks, and meet in several of them: the same trees, and no cells at the driver."""
+    settings = Boosting(rounds=2, leaves=8, min_rows=5, subsample=1.0, columns=1.0, bins=31)
+    _, whole = boosted_numbers(table, INPUTS, "y", settings)
+    edges, gathered, kind = boosting.fit_edges(table, INPUTS, "", settings.bins), [], type(table)
+    monkeypatch.setattr(boosting, "fit_edges", lambda *_: edges)
+    monkeypatch.setattr(boosting, "_TASK_LEAVES", 2)
+    for name in ("collect", "toArrow"):
+        plain = getattr(kind, name)
+        monkeypatch.setattr(kind, name, lambda df, plain=plain: gathered.append(plain(df)) or gathered[-1])
+    _, rounds = boosted_numbers(table, INPUTS, "y", settings)
+    tried = sum(len(t.nodes) for r in rounds for t in r)
+    assert tried == 2 * 15 and sum(len(g) for g in gathered) <= 3 * tried
+    assert [[n.split for n in t.nodes] for r in rounds for t in r] == [[n.split for n in t.nodes] for r in whole for t in r]
