@@ -1,7 +1,7 @@
 """Packing documents into training sequences by lexical retrieval.
 
 Documents become token ids and are dealt into shards of about `SHARD_BYTES` of text. Each shard builds a BM25 inverted
-index over its documents. A seed opens a sequence; its rarest terms ask the index for the nearest documents that are
+index over its documents. A seed opens a sequence; all its terms ask the index for the nearest documents that are
 still unused, which fill the sequence one after another. The one that reaches the end is cut there, and its rest is the
 next seed. Only the last sequence of a shard is shorter than the window.
 
@@ -32,8 +32,8 @@ from frostline.llm.text import flat_bytes, small_slices, word_spans
 
 WINDOW, END = 4096, 2
 SHARD_BYTES = 16 << 20
-#: BM25's constants, and how many of a seed's terms ask for neighbours.
-K1, B, ASKED = 1.2, 0.75, 24
+#: BM25's constants; numbers that rows of weights hold, for terms of more than one document in COMMON; neighbours ranked at once.
+K1, B, ROWS, COMMON, RANKED = 1.2, 0.75, 4 << 20, 32, 64
 #: Words that a worker remembers, by 64-bit hash, and the most bytes of ids of one.
 REMEMBERED, LONGEST = 600_000, 64
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -178,18 +178,39 @@ class Index:
         spread = K1 * (1 - B + B * sizes / max(sizes.mean(), 1))
         self.weight = np.repeat(self.rarity, found) * count * (K1 + 1) / (count + spread[self.docs])
         self.n = len(docs)
-
-    def neighbours(self, ids: np.ndarray, unused: np.ndarray) -> np.ndarray:
-        """Unused documents that share one of the rarest terms of `ids` with others, best first."""
+        common = np.argsort(-found, kind="stable")[:ROWS // self.n]
+        common = common[found[common] * COMMON > self.n]
+        self.row = np.full(len(self.terms), -1)
+        self.row[common] = np.arange(len(common))
+        self.common = np.zeros((len(common), self.n))
+        for row, t in enumerate(common):
+            held = slice(self.first[t], self.first[t + 1])
+            self.common[row, self.docs[held]] = self.weight[held]
+
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """Every document's BM25 for all terms of `ids` that several documents have."""
         at = np.searchsorted(self.terms, np.unique(ids))
-        at = at[np.diff(self.first)[at] > 1]
-        at = at[np.argsort(-self.rarity[at], kind="stable")[:ASKED]]
-        if not len(at):
-            return at
-        spans = [slice(self.first[t], self.first[t + 1]) for t in at]
-        score = np.bincount(np.concatenate([self.docs[s] for s in spans]), np.concatenate([self.weight[s] for s in spans]), self.n)
+        first, size = self.first[at], np.diff(self.first)[at]
+        row = self.row[at]
+        few = (row < 0) & (size > 1)
+        first, size = first[few], size[few]
+        spots = np.arange(size.sum()) + np.repeat(first - np.cumsum(size) + size, size)
+        score = np.bincount(self.docs[spots], self.weight[spots], self.n).astype(np.float64)
+        for i in row[row >= 0]:
+            score += self.common[i]
+        return score
+
+    def neighbours(self, ids: np.ndarray, unused: np.ndarray) -> Iterator[int]:
+        """Unused documents that share a term of `ids`, best first."""
+        score = self.scores(ids)
         found = np.flatnonzero((score > 0) & unused)
-        return found[np.argsort(-score[found], kind="stable")]
+        score = score[found]
+        while len(found) > RANKED:  # a sequence needs a few, so the others are ranked when they are asked for
+            least = np.partition(score, len(score) - RANKED)[len(score) - RANKED]
+            top = score >= least
+            yield from found[top][np.argsort(-score[top], kind="stable")].tolist()
+            found, score = found[~top], score[~top]
+        yield from found[np.argsort(-score, kind="stable")].tolist()
 
 
 def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[int, int, int]]]:
@@ -200,7 +221,7 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[in
     now: list[tuple[int, int, int]] = []
     room, fresh, queue = window, 0, iter(())
     while True:
-        doc = next((int(d) for d in queue if unused[d]), None)
+        doc = next((d for d in queue if unused[d]), None)
         if doc is None:
             while fresh < len(docs) and not unused[fresh]:
                 fresh += 1
@@ -209,14 +230,14 @@ def pack(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[list[tuple[in
             doc = fresh
         unused[doc] = False
         if not now:
-            queue = iter(index.neighbours(docs[doc], unused))
+            queue = index.neighbours(docs[doc], unused)
         start, size = 0, len(docs[doc])
         while size - start >= room:
             yield [*now, (doc, start, room)]
             start, now, room = start + room, [], window
         if start < size:
             if start:  # the rest of a document that was cut is the next seed
-                queue = iter(index.neighbours(docs[doc], unused))
+                queue = index.neighbours(docs[doc], unused)
             now.append((doc, start, size - start))
             room -= size - start
     if now:
