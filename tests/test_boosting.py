@@ -180,3 +180,35 @@ def test_the_driver_gets_one_short_row_for_a_leaf(table, monkeypatch):
     tried = sum(len(t.nodes) for r in rounds for t in r)
     assert tried == 2 * 15 and sum(len(g) for g in gathered) <= 3 * tried
     assert [[n.split for n in t.nodes] for r in rounds for t in r] == [[n.split for n in t.nodes] for r in whole for t in r]
+
+
+@pytest.mark.parametrize("classes", [0, 3])
+def test_one_task_grows_the_same_rounds(table, monkeypatch, classes):
+    settings = EXACT.copy(rounds=5, subsample=0.7, columns=0.5)
+    columns = [*"abcd", "k", "w"] if classes else [*"abcd", "y"]
+    asked, splits = [], boosting._splits
+    monkeypatch.setattr(boosting, "_splits", lambda *a: asked.append(1) or splits(*a))
+    found = []
+    for rows in (2000, 1999):  # in one task, and by jobs for each round
+        monkeypatch.setattr(boosting, "LOCAL_ROWS", rows)
+        made = boosted_classes(table.select(columns), INPUTS, "k", 3, settings, "w") if classes else boosted_numbers(table.select(columns), INPUTS, "y", settings)
+        found.append((made, len(asked)))
+    (here, first), (spread, last) = found
+    assert first == 0 and last >= 5
+    for name in ("first", "input", "threshold", "left", "right", "value"):
+        assert (getattr(here[0], name) == getattr(spread[0], name)).all()
+    assert [[t.accepted for t in r] for r in here[1]] == [[t.accepted for t in r] for r in spread[1]]
+    assert [[(n.split, int(n.rows[0, 0])) for n in t.nodes] for r in here[1] for t in r] == [[(n.split, int(n.rows[0, 0])) for n in t.nodes] for r in spread[1] for t in r]
+
+
+def test_the_registered_fit_grows_all_rounds(spark, monkeypatch, readings):
+    """700 rounds of the regression run, none left out: the settings reach the fit as they are."""
+    from frostline.catalog import training as catalog
+
+    asked = []
+    monkeypatch.setattr(catalog.ops, "fit_regressor", lambda rows, learner: asked.append(learner))
+    monkeypatch.setattr(catalog, "_parts", lambda *_: (readings, readings))
+    monkeypatch.setattr(catalog, "predict_risk", lambda rows, _: rows)
+    monkeypatch.setattr(catalog, "risk_rows", lambda rows, *_: rows)
+    catalog.QUERIES["boosted_regression_leafwise"](spark, "")
+    assert asked == [training.regressors()["boosted_leafwise"]] and asked[0].rounds == 700
