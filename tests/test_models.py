@@ -213,3 +213,15 @@ def test_legacy_balance(readings):
     counts = {(r["stage"], r["class"]): r["count"] for r in report.collect()}
     assert counts[("after", WARNING)] == 200 and counts[("after", EMERGENCY)] == counts[("before", EMERGENCY)] + 150
     assert made.select(ID).distinct().count() == made.count()
+
+
+def test_the_registered_resumed_run_is_whole(spark, readings, monkeypatch):
+    """All trees, draws, folds and tuned forests: the query gives targets and the wish to resume, and nothing else."""
+    from frostline.catalog import runs
+
+    asked = []
+    monkeypatch.setattr(runs, "telemetry", lambda *_: readings)
+    monkeypatch.setattr(runs, "run_staged", lambda rows, out, **settings: asked.append(settings) or readings.limit(1))
+    monkeypatch.setattr(runs, "stage_report", lambda *_: spark.createDataFrame([(1, "split", "done", 1, 5, 1)], "number int, stage string, state string, tables int, rows bigint, attempts int"))
+    runs.QUERIES["run_staged_resumed"](spark, "")
+    assert [sorted(s) for s in asked] == [["resume", "targets"]] * 2
